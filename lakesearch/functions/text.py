@@ -89,20 +89,20 @@ def phrase_match(token_array: Column, phrase: list[str]) -> Column:
 
 def shingles(token_array: Column, lengths: Iterable[int]) -> Column:
     """All runs of the given lengths as space-joined terms; length 1 is the token itself."""
-    parts = []
-    for n in sorted(set(lengths)):
-        if n == 1:
-            parts.append(token_array)
-            continue
-        starts = F.when(F.size(token_array) >= n, F.sequence(F.lit(1), F.size(token_array) - (n - 1)))
-        runs = F.transform(
-            F.coalesce(starts, F.array().cast("array<int>")),
-            lambda i, n=n: F.array_join(F.slice(token_array, i, n), " "),
-        )
-        parts.append(runs)
+    parts = [token_array if n == 1 else _runs(token_array, n) for n in sorted(set(lengths))]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def _runs(token_array: Column, n: int) -> Column:
+    """Neighbouring tokens joined pairwise, so the array is never read inside a lambda."""
+    size = F.size(token_array)
+    run = token_array
+    for at in range(1, n):
+        rest = F.slice(token_array, F.lit(at + 1), F.greatest(size - at, F.lit(0)))
+        run = F.zip_with(run, rest, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.filter(run, lambda r: r.isNotNull())
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def stemmed(words: pa.Array) -> pa.Array:
     """Porter stems of a token array column; each distinct word of a batch is stemmed once."""
@@ -202,3 +202,25 @@ def porter_stem(word: str) -> str:
     if word.endswith("ll") and _measure(word[:-1]) > 1:
         word = word[:-1]
     return word
+
+
+def phonetic(words: Column) -> Column:
+    """Soundex codes of a token array."""
+    return F.transform(words, F.soundex)
+
+
+def analysed(text: Column, stem: bool = False, sound: bool = False) -> Column:
+    """Tokens after the optional stemming and phonetic steps."""
+    words = tokens(text, stem)
+    return phonetic(words) if sound else words
+
+
+def max_frequency(words: Column) -> Column:
+    """How often the most frequent token occurs, by one pass over the sorted tokens."""
+    start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(acc: Column, word: Column) -> Column:
+        run = F.when(acc["word"] == word, acc["run"] + 1).otherwise(F.lit(1))
+        return F.struct(word.alias("word"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
+
+    return F.aggregate(F.array_sort(words), start, step, lambda acc: acc["best"])

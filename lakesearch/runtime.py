@@ -89,3 +89,12 @@ def equi_join(big: DataFrame, small: DataFrame, on: list[str], salt_by: Column)
     if measured_bytes(small) <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), on)
     return salted_join(big, small, on, salt_by)
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with costly columns that later filters and projections do not recompute.
+
+    Catalyst inlines a projected expression into every filter above it. A one-row
+    ``stack`` is a generator, whose output is never inlined.
+    """
+    return df.select("*", F.stack(F.lit(1), *columns.values()).alias(*columns))
