@@ -1,0 +1,23 @@
+"""Folder listings on whatever file system Spark is configured for."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``; none when it does not exist."""
+    folder, system = _open(spark, path)
+    if not system.exists(folder):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _open(spark, path)
+    return system.exists(folder)
+
+
+def _open(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
