@@ -222,8 +222,8 @@ class Text(_FieldRef):
 
     def fuzzy(self, word: str, distance: int = 1) -> Predicate:
         natural_int(distance, "distance")
-        target = F.lit(word.lower())
-        return self._tokens(lambda t: F.exists(t, lambda w: F.levenshtein(w, target, distance) >= 0))
+        target = word.lower()
+        return self._tokens(lambda t: F.exists(t, lambda w: F.levenshtein(w, F.lit(target), distance) >= 0))
 
     def any_of(self, *phrases: str) -> Predicate:
         found = [literal_tokens(p) for p in phrases]
@@ -302,7 +302,7 @@ def great_circle(lon: Column, lat: Column, lon0: float, lat0: float) -> Column:
     dlat = F.radians(lat - lat0) / 2
     dlon = F.radians(lon - lon0) / 2
     h = F.sin(dlat) * F.sin(dlat) + F.cos(F.radians(lat)) * math.cos(math.radians(lat0)) * F.sin(dlon) * F.sin(dlon)
-    return F.lit(2 * EARTH_RADIUS) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return F.lit(2 * EARTH_RADIUS) * F.asin(F.sqrt(F.when(h > 1.0, F.lit(1.0)).otherwise(h)))
 
 
 def _bounding_box(lon: Column, lat: Column, circle: GeoRadius) -> Column | None:
@@ -348,16 +348,20 @@ class Timestamp(_FieldRef):
         return Predicate(lambda df, schema: _not(positive.column(df, schema)))
 
     def gt(self, value: Instant) -> Predicate:
-        return self._compare(lambda c: c.gt(_epoch(value)))
+        second = _epoch(value)
+        return self._compare(lambda c: c.gt(second))
 
     def lt(self, value: Instant) -> Predicate:
-        return self._compare(lambda c: c.lt(_epoch(value)))
+        second = _epoch(value)
+        return self._compare(lambda c: c.lt(second))
 
     def ge(self, value: Instant) -> Predicate:
-        return self._compare(lambda c: c.ge(_epoch(value)))
+        second = _epoch(value)
+        return self._compare(lambda c: c.ge(second))
 
     def le(self, value: Instant) -> Predicate:
-        return self._compare(lambda c: c.le(_epoch(value)))
+        second = _epoch(value)
+        return self._compare(lambda c: c.le(second))
 
     def between(self, start: Instant, end: Instant, inclusive: str = "both") -> Predicate:
         one_of(inclusive, INCLUSIVE_MODES, "inclusive")

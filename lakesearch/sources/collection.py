@@ -117,11 +117,11 @@ class Collection:
 
     def _state(self) -> _State:
         versions = sorted(
-            (int(name[2:]) for name in files.subfolders(self.spark, f"{self.path}/manifest") if name.startswith("v=")),
+            (int(name.split("=")[1]) for name in files.subfolders(self.spark, f"{self.path}/manifest") if name.startswith("_version=")),
             reverse=True,
         )
         for version in versions:
-            folder = f"{self.path}/manifest/v={version}"
+            folder = f"{self.path}/manifest/_version={version}"
             if files.exists(self.spark, f"{folder}/_SUCCESS"):
                 rows = self.spark.read.schema(_MANIFEST).parquet(folder).collect()
                 return _State(
@@ -141,13 +141,13 @@ class Collection:
         full = T.StructType([*columns.fields, T.StructField(_BUCKET, T.IntegerType())])
         if not wanted:
             return self.spark.createDataFrame([], full)
-        folders = [f"{self.path}/data/v={v}/{_BUCKET}={b}" for b, v in sorted(wanted.items())]
+        folders = [f"{self.path}/data/_version={v}/{_BUCKET}={b}" for b, v in sorted(wanted.items())]
         rows = self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*folders)
         return rows.select(*[f"`{f.name}`" for f in full.fields])
 
     def _commit(self, state: _State, rows: DataFrame, touched: list[int], batches: dict[str, int]) -> int:
         version = state.version + 1
-        target = f"{self.path}/data/v={version}"
+        target = f"{self.path}/data/_version={version}"
         rows.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(target)
         columns = T.StructType([f for f in rows.schema.fields if f.name != _BUCKET])
         written = {
@@ -159,7 +159,7 @@ class Collection:
         entries = [(b, v, columns.json(), state.buckets, batches) for b, v in sorted(folders.items())]
         entries = entries or [(None, version, columns.json(), state.buckets, batches)]
         manifest = self.spark.createDataFrame(entries, _MANIFEST).coalesce(1)
-        manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/v={version}")
+        manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/_version={version}")
         return version
 
 
