@@ -78,34 +78,6 @@ def distance_column(vector: Column, query: Sequence[float], metric: str) -> Colu
     return distance(vector)
 
 
-def pair_distance(left: Column, right: Column, metric: str) -> Column:
-    """Distance between two vector columns of one row, null for unusable pairs."""
-    metric = normalize_metric(metric)
-
-    @F.arrow_udf(T.DoubleType())
-    def distance(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = np.full(len(a), np.nan)
-        lengths = a.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        for dims in np.unique(lengths[lengths > 0]):
-            x, rows_a = vector_matrix(a, int(dims))
-            y, rows_b = vector_matrix(b, int(dims))
-            rows, ia, ib = np.intersect1d(rows_a, rows_b, assume_unique=True, return_indices=True)
-            x, y = x[ia], y[ib]
-            if metric == "L2":
-                d = np.sqrt(((x - y) ** 2).sum(axis=1))
-            else:
-                d = np.einsum("ij,ij->i", x, y)
-                if metric == "COSINE":
-                    norms = np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        d = np.where(norms == 0, np.nan, d / norms)
-                d = 1.0 - d
-            out[rows] = np.round(d, DECIMALS) + 0.0
-        return pa.array(out, mask=np.isnan(out))
-
-    return distance(left, right)
-
-
 def normalized(distance: Column, metric: str) -> Column:
     """Similarity in [0, 1] of a cosine or L2 distance; inner products are left unchanged."""
     metric = normalize_metric(metric)

@@ -13,11 +13,15 @@ from ..checks import positive_int
 from ..errors import QueryError
 from .distance import vector_matrix
 
+_BAND_BITS = 10
+
 
 @dataclass(frozen=True)
 class Bands:
     """``bands`` hashes of ``bits`` projections each, repeatable from ``seed``.
 
+    The low bits of a hash hold its band number, so hashes of different bands differ.
+
     Cosine hashes keep the signs of random projections. L2 hashes keep the cell of
     width ``width`` each projection falls into.
     """
@@ -33,8 +37,8 @@ class Bands:
         positive_int(self.bits, "bits")
         if self.metric == "IP":
             raise QueryError("Hash bands need the COSINE or L2 metric")
-        if self.bits > 62:
-            raise QueryError("bits must be at most 62")
+        if self.bits > 64 - _BAND_BITS or self.bands > 2**_BAND_BITS:
+            raise QueryError(f"bits must be at most {64 - _BAND_BITS} and bands at most {2**_BAND_BITS}")
 
     @classmethod
     def for_cosine(cls, threshold: float, recall: float = 0.98, max_bands: int = 64, seed: int = 17) -> Bands:
@@ -64,7 +68,7 @@ class Bands:
             base = draw.integers(1, 2**31, self.bits, dtype=np.int64)
         cells = digits.reshape(len(x), self.bands, self.bits)
         with np.errstate(over="ignore"):
-            return (cells * base).sum(axis=2)
+            return ((cells * base).sum(axis=2) << _BAND_BITS) | np.arange(self.bands)
 
     def column(self, vector: Column, dims: int) -> Column:
         """``array<bigint>`` of band hashes; null for unusable vectors."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
@@ -216,11 +217,44 @@ def analysed(text: Column, stem: bool = False, sound: bool = False) -> Column:
 
 
 def max_frequency(words: Column) -> Column:
-    """How often the most frequent token occurs, by one pass over the sorted tokens."""
-    start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+    """How often the most frequent token of a token array occurs; 0 for none."""
+    return F.coalesce(F.array_max(F.transform(term_positions(words), lambda t: t["tf"])), F.lit(0))
 
-    def step(acc: Column, word: Column) -> Column:
-        run = F.when(acc["word"] == word, acc["run"] + 1).otherwise(F.lit(1))
-        return F.struct(word.alias("word"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
 
-    return F.aggregate(F.array_sort(words), start, step, lambda acc: acc["best"])
+_POSTING = T.StructType(
+    [
+        T.StructField("term", T.StringType()),
+        T.StructField("tf", T.IntegerType()),
+        T.StructField("positions", T.ArrayType(T.IntegerType())),
+    ]
+)
+
+
+@F.arrow_udf(T.ArrayType(_POSTING))
+def term_positions(words: pa.Array) -> pa.Array:
+    """The distinct terms of a token array with their counts and positions.
+
+    A document is one row, so its postings need no shuffle: the tokens of a whole
+    batch are numbered once and sorted by row and number.
+    """
+    lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    flat = words.flatten().dictionary_encode()
+    if isinstance(flat, pa.ChunkedArray):
+        flat = flat.combine_chunks()
+    codes = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    position = np.arange(len(codes)) - offsets[row]
+    group = row * max(1, len(flat.dictionary)) + codes
+    order = np.argsort(group, kind="stable")
+    first = np.flatnonzero(np.diff(group[order], prepend=-1))
+    ends = np.append(first[1:], len(order))
+    terms = flat.dictionary.take(pa.array(codes[order][first]))
+    places = pa.ListArray.from_arrays(
+        pa.array(np.append(first, len(order)), pa.int32()), pa.array(position[order], pa.int32())
+    )
+    entries = pa.StructArray.from_arrays(
+        [terms, pa.array(ends - first, pa.int32()), places], names=["term", "tf", "positions"]
+    )
+    per_row = np.searchsorted(row[order][first], np.arange(len(lengths) + 1))
+    return pa.ListArray.from_arrays(pa.array(per_row, pa.int32()), entries)

@@ -254,9 +254,7 @@ def _search_literal(
         # One pass keeps the few terms that matter; each term is then counted in that short list.
         found[f"_hits{f}"] = F.filter(shingles(tokens, lengths), lambda t: t.isin(*terms))
         found[f"_length{f}"] = F.size(tokens)
-        if query.scorer == "TFIDF":
-            found[f"_peak{f}"] = max_frequency(tokens)
-    counted = computed_once(computed_once(df, **words), **found).drop(*words)
+    counted = computed_once(computed_once(df, **words), **found)
     statistics = _literal_statistics(counted, names, list(terms)) if query.needs_statistics else None
     condition = filter_column(where, df, schema)
     if condition is not None:
@@ -264,6 +262,8 @@ def _search_literal(
     matched = counted.where(
         reduce(lambda a, b: a | b, [F.coalesce(F.size(f"_hits{f}") > 0, F.lit(False)) for f in range(len(names))])
     )
+    if query.scorer == "TFIDF":
+        matched = computed_once(matched, **{f"_peak{f}": max_frequency(F.col(f"_tokens{f}")) for f in range(len(names))})
     parts = []
     for f, name in enumerate(names):
         total = F.lit(0.0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..runtime import equi_join
+from ..runtime import equi_join, written
 
 BUCKETS = 64
 
@@ -18,13 +18,15 @@ def exact_quantile(df: DataFrame, keys: list[str], value: Column, q: float, alia
     ordered. The sketch decides the split of the work, never the answer.
     """
     counts = df.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    counts = counts.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # Written once: five narrow passes read it, while the source is read a single time.
+    counts = written(counts.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "counts")
     steps = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
     bounds = counts.groupBy(*keys).agg(
         F.percentile_approx("_v", steps, F.lit(10000)).alias("_bounds"), F.sum("_n").alias("_total")
     )
     rank = F.lit(q) * (F.col("_total") - 1)
     bounds = bounds.withColumn("_low", F.floor(rank)).withColumn("_high", F.ceil(rank)).withColumn("_rank", rank)
+    bounds = written(bounds, "bounds")
     placed = equi_join(counts, bounds, keys, F.col("_v"))
     placed = placed.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col("_v")))).drop("_bounds")
 

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from functools import partial
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..checks import natural_number, one_of
-from ..functions.distance import pair_distance
+from ..functions.distance import distances, vector_matrix
 from ..functions.hashing import Bands
 from ..runtime import broadcast_if_small
 from ..schema import DocumentSchema
-from .vectors import batch_search, search_metric, vector_name
+from .vectors import CELLS, batch_search, search_metric, vector_name
 
 METHODS = ("lsh", "exact")
 
 # Rows of one hash bucket that meet in one task; larger buckets are cut into chunks.
-CHUNK = 4096
+CHUNK = 2048
 
 
 def distinct_vectors(df: DataFrame, key: str, field: str) -> tuple[DataFrame, DataFrame]:
@@ -96,39 +98,32 @@ def _exact(probes: DataFrame, heads: DataFrame, threshold: float, metric: str, o
 def _banded(
     probes: DataFrame, heads: DataFrame, dims: int, threshold: float, metric: str, bands: Bands, chunk: int, own: bool
 ) -> DataFrame:
-    spread = partial(_spread, dims=dims, bands=bands)
-    right = spread(heads)
-    left = right if own else spread(probes)
-    # Only buckets above the chunk size are listed: at most rows x bands / chunk of them.
-    sizes = right.groupBy("_band", "_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk)
-    hot = broadcast_if_small(sizes.select("_band", "_hash", F.ceil(F.col("_n") / chunk).cast("int").alias("_m")))
-
-    def chunked(rows: DataFrame) -> DataFrame:
-        rows = rows.join(hot, ["_band", "_hash"], "left").withColumn("_m", F.coalesce("_m", F.lit(1)))
-        return rows.withColumn("_c", F.pmod(F.xxhash64("_k"), F.col("_m")).cast("int"))
-
-    right = chunked(right)
-    left = chunked(left)
-    last = F.col("_m") - 1
+    right = _spread(heads, dims, bands)
+    left = right if own else _spread(probes, dims, bands)
     if own:
-        # Chunk i of a bucket meets the chunks j >= i, each meeting being its own join key.
-        a = left.withColumn("_j", F.explode(F.sequence("_c", last))).withColumn("_i", F.col("_c"))
-        b = right.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_c")))).withColumn("_j", F.col("_c"))
-        keys = ["_band", "_hash", "_i", "_j"]
+        # Row of chunk c meets every chunk t of its bucket in the meeting (min(c, t), max(c, t)).
+        rows = _chunked(right, right, chunk, "_m")
+        other = F.explode(F.sequence(F.lit(0), F.col("_m") - 1))
+        rows = rows.withColumn("_t", other).withColumn("_left", F.col("_c") <= F.col("_t"))
+        rows = rows.withColumn("_i", F.least("_c", "_t")).withColumn("_j", F.greatest("_c", "_t"))
     else:
-        a = left.withColumn("_j", F.explode(F.sequence(F.lit(0), last)))
-        b = right.withColumn("_j", F.col("_c"))
-        keys = ["_band", "_hash", "_j"]
-    a = a.select(*keys, F.col("_k").alias("_ka"), F.col("_v").alias("_va"), F.col("_signature").alias("_sa"))
-    b = b.select(*keys, F.col("_k").alias("_kb"), F.col("_v").alias("_vb"), F.col("_signature").alias("_sb"))
-    pairs = a.join(b, keys)
-    if own:
-        pairs = pairs.where((F.col("_i") != F.col("_j")) | (F.col("_ka") < F.col("_kb")))
-    # A pair that agrees on several bands is kept in the first one only, so no dedupe shuffle is needed.
-    same = F.zip_with("_sa", "_sb", lambda x, y: x == y)
-    pairs = pairs.where(F.array_position(same, True) == F.col("_band") + 1)
-    pairs = pairs.select("_ka", "_kb", pair_distance(F.col("_va"), F.col("_vb"), metric).alias("distance"))
-    pairs = pairs.where(F.col("distance") <= threshold)
+        a = _chunked(_chunked(left, left, chunk, "_m"), right, chunk, "_n", own_chunk=False)
+        b = _chunked(_chunked(right, right, chunk, "_m"), left, chunk, "_n", own_chunk=False)
+        other = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
+        a = a.withColumn("_j", other).withColumn("_i", F.col("_c")).withColumn("_left", F.lit(True))
+        b = b.withColumn("_i", other).withColumn("_j", F.col("_c")).withColumn("_left", F.lit(False))
+        columns = ["_hash", "_i", "_j", "_left", "_k", "_v", "_signature"]
+        rows = a.select(*columns).unionByName(b.select(*columns))
+    meeting = ["_hash", "_i", "_j"]
+    rows = rows.select(*meeting, "_left", "_k", "_v", "_signature")
+    # The work per byte is high, so the partitions are not merged by size.
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(count, *meeting).sortWithinPartitions(*meeting)
+    key = heads.schema["_k"].dataType
+    schema = T.StructType(
+        [T.StructField("_ka", key), T.StructField("_kb", key), T.StructField("distance", T.DoubleType())]
+    )
+    pairs = rows.mapInArrow(_meeting_kernel(dims, threshold, metric, own), schema)
     first: Column = F.least("_ka", "_kb") if own else F.col("_ka")
     second: Column = F.greatest("_ka", "_kb") if own else F.col("_kb")
     return pairs.select(first.alias("left_key"), second.alias("right_key"), "distance")
@@ -136,4 +131,97 @@ def _banded(
 
 def _spread(rows: DataFrame, dims: int, bands: Bands) -> DataFrame:
     signed = rows.withColumn("_signature", bands.column(F.col("_v"), dims)).where(F.col("_signature").isNotNull())
-    return signed.select("_k", "_v", "_signature", F.posexplode("_signature").alias("_band", "_hash"))
+    return signed.select("_k", "_v", "_signature", F.explode("_signature").alias("_hash"))
+
+
+def _chunked(rows: DataFrame, counted: DataFrame, chunk: int, count: str, own_chunk: bool = True) -> DataFrame:
+    """Add to every row how many chunks its bucket has in ``counted``, and its own chunk number.
+
+    Only buckets above the chunk size are listed: at most rows x bands / chunk of them.
+    """
+    sizes = counted.groupBy("_hash").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > chunk)
+    hot = broadcast_if_small(sizes.select("_hash", F.ceil(F.col("_size") / chunk).cast("int").alias(count)))
+    rows = rows.join(hot, "_hash", "left").withColumn(count, F.coalesce(count, F.lit(1)))
+    if not own_chunk:
+        return rows
+    return rows.withColumn("_c", F.pmod(F.xxhash64("_k"), F.col(count)).cast("int"))
+
+
+def _meeting_kernel(dims: int, threshold: float, metric: str, own: bool):
+    """Compare the rows of each meeting; input is sorted by meeting, so one passes through at a time.
+
+    Vectors cross to Python once per bucket row instead of once per candidate pair. A pair
+    that agrees on several bands is kept in the first one only, so no dedupe shuffle follows.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table]).combine_chunks()
+            edges = group_edges(table)
+            last = int(edges[-2])
+            held = table.slice(last).combine_chunks()
+            if last:
+                yield from pairs_of(table.slice(0, last).combine_chunks(), edges[:-1])
+        if held is not None:
+            yield from pairs_of(held, np.array([0, held.num_rows]))
+
+    def group_edges(table: pa.Table) -> np.ndarray:
+        changed = np.zeros(table.num_rows, dtype=bool)
+        changed[0] = True
+        for name in ("_hash", "_i", "_j"):
+            values = table.column(name).to_numpy()
+            changed[1:] |= values[1:] != values[:-1]
+        return np.append(np.flatnonzero(changed), table.num_rows)
+
+    def pairs_of(table: pa.Table, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+        x, usable = vector_matrix(table.column("_v"), dims)
+        if len(usable) < table.num_rows:
+            raise ValueError("a hashed vector is unusable")
+        keys = table.column("_k").combine_chunks()
+        hashes = table.column("_hash").to_numpy()
+        left = table.column("_left").to_numpy()
+        same_chunk = table.column("_i").to_numpy() == table.column("_j").to_numpy()
+        signature = table.column("_signature").combine_chunks().flatten().to_numpy().reshape(len(x), -1)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        waiting = 0
+        for start, end in zip(edges[:-1], edges[1:]):
+            if end - start < 2:
+                continue
+            rows = np.arange(start, end)
+            triangle = own and same_chunk[start]
+            a, b = (rows, rows) if triangle else (rows[left[start:end]], rows[~left[start:end]])
+            step = max(1, CELLS // max(1, len(b)))
+            for at in range(0, len(a), step):
+                part = a[at : at + step]
+                d = distances(x[part], x[b], metric)
+                near_a, near_b = np.nonzero(d <= threshold)
+                ia, ib, near = part[near_a], b[near_b], d[near_a, near_b]
+                if triangle:
+                    upper = ia < ib
+                    ia, ib, near = ia[upper], ib[upper], near[upper]
+                found.append((ia, ib, near))
+                waiting += len(ia)
+                if waiting > CELLS:
+                    yield emit(found, keys, hashes, signature)
+                    found, waiting = [], 0
+        if found:
+            yield emit(found, keys, hashes, signature)
+
+    def emit(found, keys, hashes, signature) -> pa.RecordBatch:
+        ia, ib, near = (np.concatenate(parts) for parts in zip(*found))
+        kept = np.zeros(len(ia), dtype=bool)
+        for at in range(0, len(ia), 100_000):
+            part = slice(at, at + 100_000)
+            first = (signature[ia[part]] == signature[ib[part]]).argmax(axis=1)
+            kept[part] = signature[ia[part], first] == hashes[ia[part]]
+        ia, ib, near = ia[kept], ib[kept], near[kept]
+        return pa.RecordBatch.from_arrays(
+            [keys.take(pa.array(ia)), keys.take(pa.array(ib)), pa.array(near)], names=["_ka", "_kb", "distance"]
+        )
+
+    return compare

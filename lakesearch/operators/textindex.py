@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.text import max_frequency
+from ..functions.text import term_positions
 from ..runtime import computed_once, equi_join
 from ..schema import DocumentSchema
 from .fulltext import field_tokens
 
+_BUCKET = "_bucket"
+
+
+def _bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int").alias(_BUCKET)
+
 
 class TextIndex:
     """Postings with positions, holders per term, and collection statistics on disk.
 
-    Postings are range-partitioned by term and key, so a frequent term spreads over
-    many files while a lookup of few terms skips the rest by Parquet statistics.
+    Postings lie in folders by a hash of their term, sorted by term. A lookup reads the
+    folders its terms fall into, and Parquet statistics skip most of each file.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str):
@@ -33,26 +39,22 @@ class TextIndex:
         schema: DocumentSchema | None = None,
         stem: bool = False,
         sound: bool = False,
+        buckets: int = 64,
     ) -> TextIndex:
         key = schema.key if schema is not None else "_key"
         fields = list(fields)
         rows = df.select("*", field_tokens(df, fields, schema, stem, sound)).select(key, "field", "_words")
-        rows = computed_once(rows, length=F.size("_words"), peak=max_frequency(F.col("_words")))
-        rows = rows.select(key, "field", "length", "peak", F.posexplode("_words").alias("position", "term"))
-        postings = rows.groupBy(key, "field", "term").agg(
-            F.count(F.lit(1)).alias("tf"),
-            F.max("length").alias("length"),
-            F.max("peak").alias("peak"),
-            F.array_sort(F.collect_list("position")).alias("positions"),
-        )
-        postings.repartitionByRange(F.col("term"), F.col(f"`{key}`")).sortWithinPartitions("term", key).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/postings")
+        rows = computed_once(rows, length=F.size("_words"), _terms=term_positions(F.col("_words")))
+        rows = computed_once(rows, peak=F.array_max(F.transform("_terms", lambda t: t["tf"])))
+        postings = rows.select(key, "field", "length", "peak", F.inline("_terms"))
+        postings = postings.withColumn(_BUCKET, _bucket(F.col("term"), buckets))
+        # Rebalancing splits the bucket of a frequent term into several files.
+        postings = postings.hint("rebalance", _BUCKET).sortWithinPartitions(_BUCKET, "term")
+        postings.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{path}/postings")
         written = df.sparkSession.read.parquet(f"{path}/postings")
-        holders = written.groupBy("field", "term").agg(F.count(F.lit(1)).alias("holders"))
-        holders.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
-        per_document = written.groupBy(key, "field").agg(F.max("length").alias("length"))
-        sums = per_document.groupBy("field").agg(F.sum("length").alias("tokens"))
+        holders = written.groupBy(_BUCKET, "field", "term").agg(F.count(F.lit(1)).alias("holders"))
+        holders.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{path}/terms")
+        sums = written.groupBy("field").agg(F.sum("tf").alias("tokens"))
         present = df.select(
             F.explode(
                 F.array(
@@ -66,7 +68,8 @@ class TextIndex:
         counts = present.groupBy(F.col("_f.field").alias("field")).agg(
             F.count(F.lit(1)).alias("total"), F.count_if(F.col("_f.has")).alias("holding")
         )
-        counts.join(sums, "field", "left").write.mode("overwrite").parquet(f"{path}/statistics")
+        counts = counts.join(sums, "field", "left").withColumn("buckets", F.lit(buckets))
+        counts.write.mode("overwrite").parquet(f"{path}/statistics")
         return cls(df.sparkSession, path, key)
 
     @classmethod
@@ -80,23 +83,31 @@ class TextIndex:
     def lookup(self, vocabulary: DataFrame, fields: list[str]) -> tuple[DataFrame, DataFrame, dict[str, float]]:
         """Postings and holders of the wanted terms, phrases included, and the statistics."""
         key = self._key
-        postings = self.postings.where(F.col("field").isin(*fields))
+        rows = self._spark.read.parquet(f"{self._path}/statistics").where(F.col("field").isin(*fields)).collect()
+        statistics: dict[str, float] = {"total": max((r["total"] for r in rows), default=0)}
+        for r in rows:
+            statistics[f"mean:{r['field']}"] = (r["tokens"] or 0) / r["holding"] if r["holding"] else 1.0
+        folders = self._folders(vocabulary, rows[0]["buckets"] if rows else 1)
+        postings = self.postings.where(folders & F.col("field").isin(*fields))
         single = vocabulary.where("words = 1").select("term")
         found = equi_join(postings.drop("positions"), single, ["term"], F.col(f"`{key}`"))
         found = found.select(key, "field", "term", "tf", "length", "peak")
-        holders = self._spark.read.parquet(f"{self._path}/terms").where(F.col("field").isin(*fields))
+        holders = self._spark.read.parquet(f"{self._path}/terms").where(folders & F.col("field").isin(*fields))
         holders = equi_join(holders, single, ["term"], F.col("term")).select("field", "term", "holders")
         phrases = vocabulary.where("words > 1")
         if not phrases.isEmpty():
             runs = self._phrase_postings(postings, phrases)
             found = found.unionByName(runs)
             holders = holders.unionByName(runs.groupBy("field", "term").agg(F.count(F.lit(1)).alias("holders")))
-        rows = self._spark.read.parquet(f"{self._path}/statistics").where(F.col("field").isin(*fields)).collect()
-        statistics: dict[str, float] = {"total": max((r["total"] for r in rows), default=0)}
-        for r in rows:
-            statistics[f"mean:{r['field']}"] = (r["tokens"] or 0) / r["holding"] if r["holding"] else 1.0
         return found, holders, statistics
 
+    @staticmethod
+    def _folders(vocabulary: DataFrame, buckets: int) -> Column:
+        """The folders that can hold the wanted words: at most one value per folder is collected."""
+        word = vocabulary.select(F.explode(F.split("term", " ")).alias("_word"))
+        wanted = [r[0] for r in word.select(_bucket(F.col("_word"), buckets)).distinct().collect()]
+        return F.col(_BUCKET).isin(*wanted) if wanted else F.lit(False)
+
     def _phrase_postings(self, postings: DataFrame, phrases: DataFrame) -> DataFrame:
         """Runs of consecutive positions: a start counts when every word of the phrase follows it."""
         key = self._key

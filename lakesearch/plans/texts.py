@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.predicates import Num, Tag
-from ..functions.text import ENGLISH, SPECIAL_CHARACTERS, stemmed, tokens
+from ..functions.text import ENGLISH, SPECIAL_CHARACTERS, stemmed, term_positions, tokens
 from ..operators.fulltext import query_terms, text_query, text_search
 from ..operators.textindex import TextIndex
 from ..runtime import shared_folder
@@ -62,8 +62,8 @@ def _batch(indexed: bool = False, **options):
 
 def _document_tokens(spark, folder) -> DataFrame:
     docs = table(spark, folder, "documents")
-    words = docs.select("doc_id", F.explode(tokens(F.col("text"))).alias("term"))
-    return words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    postings = docs.select("doc_id", F.inline(term_positions(tokens(F.col("text")))))
+    return postings.select("doc_id", "term", F.col("tf").cast("bigint").alias("tf"))
 
 
 def _query_tokens(**options):
