@@ -17,6 +17,8 @@ from ..errors import QueryError
 from ..schema import normalize_metric
 
 DECIMALS = 9
+# A raw distance may exceed its rounded value by this much.
+MARGIN = 10.0**-DECIMALS
 _PAIRS = 65536
 
 
@@ -37,7 +39,16 @@ def vector_matrix(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def distances(x: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
-    """Distances between the rows of ``x`` and of ``q`` (rows x queries); NaN where undefined."""
+    """Rounded distances between the rows of ``x`` and of ``q`` (rows x queries); NaN where undefined."""
+    return rounded(raw_distances(x, q, metric))
+
+
+def rounded(d: np.ndarray) -> np.ndarray:
+    return np.round(d, DECIMALS) + 0.0
+
+
+def raw_distances(x: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
+    """:func:`distances` before rounding, for callers that round only what they keep."""
     if metric == "L2":
         scale = np.einsum("ij,ij->i", x, x)[:, None] + np.einsum("ij,ij->i", q, q)[None, :]
         square = scale - 2.0 * (x @ q.T)
@@ -56,7 +67,7 @@ def distances(x: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
                 out = out / norms
             out[norms == 0] = np.nan
         out = 1.0 - out
-    return np.round(out, DECIMALS) + 0.0
+    return out
 
 
 def distance_column(vector: Column, query: Sequence[float], metric: str) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..checks import natural_number, one_of, positive_int
 from ..errors import QueryError
-from ..functions.distance import distance_column, distances, normalized, vector_matrix
+from ..functions.distance import MARGIN, distance_column, normalized, raw_distances, rounded, vector_matrix
 from ..functions.predicates import FilterInput, filtered
 from ..schema import DocumentSchema, normalize_metric
 from .search import paged, project_fields, sorted_rows
@@ -221,7 +221,7 @@ def _block_kernel(spark, block: pa.Table, schema: T.StructType, metric: str, k:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         groups = list(_by_dims(table))
-        best: dict[int, _Best] = {}
+        best = _TopK(k, table.num_rows) if k is not None else None
         for batch in batches:
             keys = batch.column(0)
             for dims, q, rows in groups:
@@ -232,52 +232,70 @@ def _block_kernel(spark, block: pa.Table, schema: T.StructType, metric: str, k:
                     step = max(1, CELLS // max(1, len(chosen)))
                     for at in range(0, len(part), step):
                         piece = part[at : at + step]
-                        d = distances(x[piece], q[chosen], metric)
+                        d = raw_distances(x[piece], q[chosen], metric)
                         found = keys.take(pa.array(docs[piece]))
-                        if radius is not None:
-                            hit_doc, hit_query = np.nonzero(d <= radius)
-                            yield _rows(
-                                table, rows[chosen][hit_query], found.take(pa.array(hit_doc)), d[hit_doc, hit_query],
-                                schema,
-                            )
-                        else:
-                            for j, row in enumerate(rows[chosen]):
-                                best.setdefault(int(row), _Best(k)).add(d[:, j], found)
-        for row, top in best.items():
-            if len(top.values):
-                yield _rows(table, np.full(len(top.values), row), top.keys, top.values, schema)
-
-    def _rows(table, query_rows, keys, values, _schema):
+                        if best is not None:
+                            best.add(d, rows[chosen], found)
+                            continue
+                        hit_doc, hit_query = np.nonzero(d <= radius + MARGIN)
+                        near = rounded(d[hit_doc, hit_query])
+                        hit = near <= radius
+                        yield _rows(table, rows[chosen][hit_query[hit]], found.take(pa.array(hit_doc[hit])), near[hit])
+        if best is not None:
+            for query_rows, found, near in best.results():
+                yield _rows(table, query_rows, found, near)
+
+    def _rows(table, query_rows, keys, values):
         ids = table.column("id").take(pa.array(query_rows, pa.int64())).combine_chunks()
         return pa.RecordBatch.from_arrays([ids, keys, pa.array(values)], names=[id_name, key_name, distance_name])
 
     return search
 
 
-class _Best:
-    """The ``k`` smallest (distance, key) pairs seen so far for one query."""
+class _TopK:
+    """The ``k`` smallest (distance, key) pairs per query, over everything added so far."""
 
-    def __init__(self, k: int):
+    def __init__(self, k: int, queries: int):
         self.k = k
-        self.values = np.empty(0)
-        self.keys: pa.Array | None = None
-
-    def add(self, d: np.ndarray, keys: pa.Array) -> None:
-        usable = np.flatnonzero(~np.isnan(d))
-        if len(self.values) == self.k:
-            usable = usable[d[usable] <= self.values[-1]]
-        if not len(usable):
+        self.limit = max(4 * k * queries, 200_000)
+        # Nothing beyond its query's edge can enter the result.
+        self.edge = np.full(queries, np.inf)
+        self.parts: list[pa.Table] = []
+        self.size = 0
+
+    def add(self, d: np.ndarray, queries: np.ndarray, keys: pa.Array) -> None:
+        bound = self.edge[queries]
+        fresh = np.isinf(bound).any()
+        if fresh and len(d) > self.k:
+            kth = np.partition(d, self.k - 1, axis=0)[self.k - 1]
+            bound = np.fmin(bound, kth)
+        doc, query = np.nonzero(d <= bound + MARGIN)
+        if not len(doc):
             return
-        if len(usable) > self.k:
-            edge = np.partition(d[usable], self.k - 1)[self.k - 1]
-            usable = usable[d[usable] <= edge]
-        values = np.concatenate([self.values, d[usable]])
-        picked = keys.take(pa.array(usable))
-        merged = picked if self.keys is None else pa.concat_arrays([self.keys, picked])
-        order = pa.table({"d": values, "key": merged}).sort_by([("d", "ascending"), ("key", "ascending")])
-        order = order.slice(0, self.k).combine_chunks()
-        self.values = order.column("d").to_numpy()
-        self.keys = order.column("key").combine_chunks()
+        self.parts.append(
+            pa.table({"query": queries[query], "d": rounded(d[doc, query]), "key": keys.take(pa.array(doc))})
+        )
+        self.size += len(doc)
+        if fresh or self.size > self.limit:
+            self._compact()
+
+    def _compact(self) -> None:
+        table = pa.concat_tables(self.parts)
+        table = table.sort_by([("query", "ascending"), ("d", "ascending"), ("key", "ascending")])
+        query = table.column("query").to_numpy()
+        start = np.searchsorted(query, query, side="left")
+        place = np.arange(len(query)) - start
+        full = place == self.k - 1
+        self.edge[query[full]] = table.column("d").to_numpy()[full]
+        table = table.filter(pa.array(place < self.k))
+        self.parts, self.size = [table], table.num_rows
+
+    def results(self) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
+        if not self.parts:
+            return
+        self._compact()
+        for batch in self.parts[0].combine_chunks().to_batches(max_chunksize=100_000):
+            yield batch.column(0).to_numpy(), batch.column(2), batch.column(1).to_numpy()
 
 
 def _by_dims(table: pa.Table):
