@@ -16,7 +16,7 @@ from ..errors import QueryError
 from ..functions.distance import vector_matrix
 from ..functions.hashing import Bands
 from ..functions.predicates import FilterInput, filtered
-from ..runtime import equi_join
+from ..runtime import with_documents
 from ..schema import DocumentSchema
 from .search import project_fields
 from .vectors import DEFAULT_ALIAS, batch_search, check_policy, knn, search_metric, vector_name, with_score
@@ -172,7 +172,7 @@ class IvfIndex:
         ).drop("rank")
         if options["fields"]:
             wide = project_fields(source, self._schema, options["fields"])
-            hits = equi_join(wide, hits, [key], F.col(f"`{key}`"))
+            hits = with_documents(wide, hits, key, queries.count() * options["k"])
             hits = hits.select(query_id, key, *[c for c in wide.columns if c != key], alias)
         return with_score(hits, alias, self._metric) if options["normalize"] else hits
 
@@ -268,6 +268,6 @@ class LshIndex:
         hits = knn(found, vector, "_v", k=k, fields=[], metric=self._bands.metric, alias=alias, schema=key_only)
         if fields is None or list(fields):
             wide = project_fields(self._df, self._schema, fields)
-            hits = equi_join(wide, hits, [self._key], F.col(f"`{self._key}`"))
+            hits = with_documents(wide, hits, self._key, k)
             hits = hits.select(*wide.columns, alias).orderBy(alias, self._key)
         return with_score(hits, alias, self._bands.metric) if normalize else hits

@@ -36,7 +36,7 @@ from ..functions.text import (
     resolve_stopwords,
     shingles,
 )
-from ..runtime import computed_once, equi_join, written
+from ..runtime import computed_once, equi_join, with_documents, written
 from ..schema import DocumentSchema
 from .search import paged, project_fields
 
@@ -123,7 +123,8 @@ def text_search(
         hits = hits.where((F.col("_rank") > first) & (F.col("_rank") <= first + page)).drop("_rank")
     if return_fields is None or list(return_fields):
         wide = project_fields(df, schema, return_fields)
-        hits = equi_join(wide, hits, [key], F.col(f"`{key}`"))
+        most = queries.count() * (k if limit is None else limit) if k is not None else None
+        hits = with_documents(wide, hits, key, most)
         hits = hits.select(query_id, key, *[c for c in wide.columns if c != key], alias)
     return hits.drop(query_id).orderBy(F.desc(alias), key) if single else hits
 
@@ -349,7 +350,7 @@ def batch_scores(
         if doc_score is None:
             return hits.withColumn(alias, F.lit(1.0))
         prior = df.select(key, F.col(f"`{doc_score}`").cast("double").alias("_prior"))
-        hits = equi_join(prior, hits, [key], F.col(f"`{key}`"))
+        hits = with_documents(prior, hits, key, None)
         return hits.select(query_id, key, F.round("_prior", DECIMALS).alias(alias))
     return hits
 

@@ -18,7 +18,7 @@ from ..errors import QueryError
 from ..functions.distance import normalized
 from ..functions.predicates import FilterInput, filtered
 from ..functions.refs import expression_sql, field_column, reference_name
-from ..runtime import equi_join
+from ..runtime import with_documents
 from ..schema import DocumentSchema
 from .fulltext import text_search
 from .search import project_fields
@@ -144,7 +144,8 @@ def hybrid_search(
     if not wide:
         fused = _page(fused, [] if no_sort else [F.desc(alias)], query, key, offset, k)
     if wide or return_fields is None or list(return_fields):
-        found = equi_join(df, fused, [key], F.col(f"`{key}`"))
+        most = (1 if single else queries.count()) * (2 * window if wide else k)
+        found = with_documents(df, fused, key, most)
         if post_filter is not None:
             found = found.where(F.expr(expression_sql(post_filter)) if isinstance(post_filter, str) else post_filter)
         if wide:

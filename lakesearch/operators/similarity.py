@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..checks import natural_number, one_of
 from ..functions.distance import distances, vector_matrix
 from ..functions.hashing import Bands
-from ..runtime import broadcast_if_small
+from ..runtime import broadcast_if_small, written
 from ..schema import DocumentSchema
 from .vectors import CELLS, batch_search, search_metric, vector_name
 
@@ -29,7 +29,8 @@ def distinct_vectors(df: DataFrame, key: str, field: str) -> tuple[DataFrame, Da
     """
     vector = F.col(f"`{field}`")
     rows = df.where(vector.isNotNull()).select(F.col(f"`{key}`").alias("_k"), vector.alias("_v"))
-    heads = rows.groupBy("_v").agg(F.min("_k").alias("_k"), F.count(F.lit(1)).alias("_n"))
+    # Written once: the join reads the distinct vectors several times.
+    heads = written(rows.groupBy("_v").agg(F.min("_k").alias("_k"), F.count(F.lit(1)).alias("_n")), "vectors")
     many = heads.where("_n > 1").select(F.xxhash64("_v").alias("_h"), "_v", F.col("_k").alias("representative"))
     tagged = rows.withColumn("_h", F.xxhash64("_v"))
     shared = broadcast_if_small(many)
@@ -131,6 +132,7 @@ def _banded(
 
 def _spread(rows: DataFrame, dims: int, bands: Bands) -> DataFrame:
     signed = rows.withColumn("_signature", bands.column(F.col("_v"), dims)).where(F.col("_signature").isNotNull())
+    signed = written(signed, "signatures")
     return signed.select("_k", "_v", "_signature", F.explode("_signature").alias("_hash"))
 
 

@@ -19,6 +19,7 @@ from ..checks import natural_number, one_of, positive_int
 from ..errors import QueryError
 from ..functions.distance import MARGIN, distance_column, normalized, raw_distances, rounded, vector_matrix
 from ..functions.predicates import FilterInput, filtered
+from ..runtime import with_documents
 from ..schema import DocumentSchema, normalize_metric
 from .search import paged, project_fields, sorted_rows
 
@@ -61,8 +62,8 @@ def knn(
     key = schema.key if schema is not None else "_key"
     if queries is not None:
         hits = batch_search(source, queries, field, metric, key, query_id, query_vector, k=k, alias=alias)
-        hits = hits.drop("rank")
-        return _finish_batch(hits, df, schema, fields, alias, normalize, metric, query_id)
+        most = queries.count() * k if fields else None
+        return _finish_batch(hits.drop("rank"), df, schema, fields, alias, normalize, metric, query_id, most)
     found = with_distance(source, vector, field, metric, alias, schema)
     found = project_fields(found, schema, fields, [alias, *([sort_by] if sort_by else [])])
     found = found.orderBy(alias, key).limit(k)
@@ -332,10 +333,11 @@ def _finish_batch(
     normalize: bool,
     metric: str,
     query_id: str,
+    most: int | None = None,
 ) -> DataFrame:
     """Attach the asked fields to batch hits by key, after the hits are final."""
     key = schema.key if schema is not None else "_key"
     if fields:
         wide = project_fields(df, schema, fields)
-        hits = hits.join(wide, key).select(query_id, key, *[c for c in wide.columns if c != key], alias)
+        hits = with_documents(wide, hits, key, most).select(query_id, key, *[c for c in wide.columns if c != key], alias)
     return with_score(hits, alias, metric) if normalize else hits

@@ -15,6 +15,7 @@ log = logging.getLogger("lakesearch")
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 _FIXED_WIDTH = 16
+_HIT_BYTES = 256
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -98,3 +99,16 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     ``stack`` is a generator, whose output is never inlined.
     """
     return df.select("*", F.stack(F.lit(1), *columns.values()).alias(*columns))
+
+
+def with_documents(documents: DataFrame, hits: DataFrame, key: str, most: int | None) -> DataFrame:
+    """Join final hits to their documents.
+
+    ``most`` bounds the number of hits by construction (queries x k), so the hits are
+    broadcast without measuring, which would run the search twice. Unbounded or large
+    hits join by shuffle; document keys are unique, so adaptive execution can split a
+    document that many queries found.
+    """
+    if most is not None and most * _HIT_BYTES <= BROADCAST_BYTES:
+        hits = F.broadcast(hits)
+    return documents.join(hits, key)

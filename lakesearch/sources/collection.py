@@ -92,11 +92,15 @@ class Collection:
         key = self.schema.key
         if EXPIRY not in rows.columns:
             rows = rows.withColumn(EXPIRY, F.lit(None).cast("timestamp"))
-        new = last_rows(rows, key, order, mode).withColumn(_BUCKET, _bucket(F.col(f"`{key}`"), state.buckets))
-        # At most one row per bucket comes back.
-        touched = [r[0] for r in new.select(_BUCKET).distinct().collect()]
+        bucket = _bucket(F.col(f"`{key}`"), state.buckets)
+        if state.folders:
+            # Reads the keys only; at most one row per bucket comes back.
+            touched = [r[0] for r in rows.select(bucket).distinct().collect()]
+        else:
+            touched = list(range(state.buckets))
         if not touched:
             return state.version
+        new = last_rows(rows, key, order, mode).withColumn(_BUCKET, bucket)
         old = live_rows(self._rows(state, touched))
         merged = _merged(new, old, key) if mode == "merge" else _replaced(new, old, key)
         batches = {**state.batches, batch[0]: batch[1]} if batch is not None else state.batches

@@ -82,6 +82,9 @@ def load(
     rows = with_keys(df, schema, id_field, keys)
     if preprocess is not None:
         rows = preprocess(rows)
+    if preprocess is not None or (keys is None and id_field is None):
+        # Costly preprocessing runs once, and generated keys stay the same, in the passes that follow.
+        rows = written(rows, "prepared")
     rejected = None
     if validate != "off":
         valid, wrong = split_valid(rows, schema)
@@ -92,8 +95,5 @@ def load(
                 raise SchemaError(f"Documents do not match schema '{schema.name}': {lines}")
         rows, rejected = valid, wrong
     rows = with_expiry(rows, ttl, now)
-    if keys is None and id_field is None:
-        # Generated keys must not change between the passes of the upsert.
-        rows = written(rows, "keyed")
     version = target.upsert(rows, mode, order, batch)
     return LoadResult(version, rows.select(schema.key), rejected)
