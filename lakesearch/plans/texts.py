@@ -129,6 +129,13 @@ def scored_sql(
         "DISMAX": "tf",
         "DOCSCORE": "tf",
     }.get(scorer) or f"{idf[scorer]} * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))"
+    peaks = join_peaks = ""
+    if scorer == "TFIDF":
+        peaks = (
+            f"peaks AS (SELECT {key}, field, max(c)::DOUBLE AS peak FROM (SELECT {key}, field, term, count(*) AS c "
+            f"FROM (SELECT {key}, field, unnest(toks) AS term FROM toks) GROUP BY ALL) GROUP BY ALL),"
+        )
+        join_peaks = f" JOIN peaks USING ({key}, field)"
     outer = f"SELECT query_id, {key}, round(sum(part), 9) AS score FROM scored GROUP BY query_id, {key}"
     if scorer == "DISMAX":
         outer = (
@@ -140,18 +147,16 @@ def scored_sql(
     toks AS ({toks}),
     lens AS (SELECT *, len(toks)::DOUBLE AS length FROM toks),
     grams AS (
-      SELECT {key}, field, fw, length, unnest(list_transform(range(1, greatest(len(toks) - n + 2, 1)),
-        lambda i: array_to_string(toks[i:i + n - 1], ' '))) AS term
+      SELECT {key}, field, fw, length, unnest(CASE WHEN n = 1 THEN toks ELSE list_transform(
+        range(1, greatest(len(toks) - n + 2, 1)), lambda i: array_to_string(toks[i:i + n - 1], ' ')) END) AS term
       FROM lens, (SELECT DISTINCT words AS n FROM terms)),
     tfs AS (SELECT {key}, field, fw, length, term, count(*)::DOUBLE AS tf FROM grams
       WHERE term IN (SELECT term FROM terms) GROUP BY ALL),
-    peaks AS (SELECT {key}, field, max(c)::DOUBLE AS peak FROM (SELECT {key}, field, term, count(*) AS c
-      FROM (SELECT {key}, field, unnest(toks) AS term FROM toks) GROUP BY ALL) GROUP BY ALL),
+    {peaks}
     stats AS (SELECT field, count(*)::DOUBLE AS total, avg(length) AS mean FROM lens GROUP BY field),
     holders AS (SELECT field, term, count(*)::DOUBLE AS n FROM tfs GROUP BY ALL),
     scored AS (SELECT query_id, {key}, field, ({part}) * fw * weight AS part
-      FROM tfs JOIN terms USING (term) JOIN holders USING (field, term) JOIN stats USING (field)
-      JOIN peaks USING ({key}, field))
+      FROM tfs JOIN terms USING (term) JOIN holders USING (field, term) JOIN stats USING (field){join_peaks})
     {outer}"""
 
 
