@@ -13,7 +13,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..checks import natural_number, one_of, positive_int
 from ..errors import QueryError
@@ -221,7 +221,7 @@ def _block_kernel(spark, block: pa.Table, schema: T.StructType, metric: str, k:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        groups = list(_by_dims(table))
+        groups = list(_by_dims(table, metric))
         best = _TopK(k, table.num_rows) if k is not None else None
         for batch in batches:
             keys = batch.column(0)
@@ -266,8 +266,7 @@ class _TopK:
 
     def add(self, d: np.ndarray, queries: np.ndarray, keys: pa.Array) -> None:
         bound = self.edge[queries]
-        fresh = np.isinf(bound).any()
-        if fresh and len(d) > self.k:
+        if len(d) > self.k and np.isinf(bound).any():
             kth = np.partition(d, self.k - 1, axis=0)[self.k - 1]
             bound = np.fmin(bound, kth)
         doc, query = np.nonzero(d <= bound + MARGIN)
@@ -277,7 +276,7 @@ class _TopK:
             pa.table({"query": queries[query], "d": rounded(d[doc, query]), "key": keys.take(pa.array(doc))})
         )
         self.size += len(doc)
-        if fresh or self.size > self.limit:
+        if self.size > self.limit:
             self._compact()
 
     def _compact(self) -> None:
@@ -299,12 +298,15 @@ class _TopK:
             yield batch.column(0).to_numpy(), batch.column(2), batch.column(1).to_numpy()
 
 
-def _by_dims(table: pa.Table):
-    """Query vectors grouped by length: (dims, matrix, row numbers in the block)."""
+def _by_dims(table: pa.Table, metric: str):
+    """Usable query vectors grouped by length: (dims, matrix, row numbers in the block)."""
     column = table.column("vector").combine_chunks()
     lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     for dims in np.unique(lengths[lengths > 0]):
         q, rows = vector_matrix(column, int(dims))
+        if metric == "COSINE":
+            directed = (q != 0).any(axis=1)
+            q, rows = q[directed], rows[directed]
         if len(rows):
             yield int(dims), q, rows
 

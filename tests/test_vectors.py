@@ -96,6 +96,13 @@ def test_many_equal_vectors_fall_back_to_the_key(spark):
     assert [r["_key"] for r in knn(docs, [1.0, 2.0], "v", k=5).collect()] == [0, 1, 2, 3, 4]
 
 
+def test_unusable_queries_find_nothing(spark, clustered):
+    docs = frame(spark, clustered[:50])
+    rows = [(1, [0.0] * 16), (2, None), (3, [1.0]), (4, clustered[0].tolist())]
+    queries = spark.createDataFrame(rows, "query_id long, vector array<double>")
+    assert {r["query_id"] for r in knn(docs, field="v", k=2, queries=queries).collect()} == {4}
+
+
 def test_unusable_vectors_are_never_returned(spark):
     rows = spark.createDataFrame(
         [("a", [1.0, 0.0]), ("b", None), ("c", [1.0]), ("d", [float("nan"), 1.0]), ("e", [None, 1.0]), ("z", [0.0, 0.0])],
