@@ -258,7 +258,7 @@ class _TopK:
 
     def __init__(self, k: int, queries: int):
         self.k = k
-        self.limit = max(4 * k * queries, 200_000)
+        self.limit = max(2 * k * queries, 20_000)
         # Nothing beyond its query's edge can enter the result.
         self.edge = np.full(queries, np.inf)
         self.parts: list[pa.Table] = []
