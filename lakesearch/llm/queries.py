@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from .common import Query
 from .language import predicted_languages
+from .simhash import simhash_components
 
 QUERIES: dict[str, Query] = {
+    "op6_simhash": Query(simhash_components),
     "op10_language": Query(predicted_languages),
 }
