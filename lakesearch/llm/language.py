@@ -23,7 +23,8 @@ from .common import in_fold, most_frequent, table, with_columns
 UNDETERMINED = "und"
 GRAMS = (4, 3, 2, 1)
 SMOOTHING = 0.5
-FLUSH = 500_000
+FLUSH = 300_000
+REMEMBERED = 300_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -160,7 +161,7 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class _Scorer:
-    """Scores texts; remembers the score of unseen words, up to a bound, then starts anew."""
+    """Scores texts one by one; remembers unseen words' scores up to a bound, then starts anew."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
@@ -168,15 +169,18 @@ class _Scorer:
 
     def _forget(self) -> None:
         self.rows = dict(self.model.words)
-        self.scores = self.model.scores
-        self.spelt = 0
+        known = len(self.model.scores)
+        self.scores = np.resize(self.model.scores, (known + REMEMBERED, self.model.scores.shape[1]))
+        self.used = known
 
     def _learn(self, new: list[str]) -> None:
         """Give each unseen word a row of its own: the mean of its longest known n-grams."""
+        if self.used + len(new) > len(self.scores):
+            self.scores = np.resize(self.scores, (self.used + len(new), self.scores.shape[1]))
         gram = self.model.grams.get
         flat: list[int] = []
         starts: list[int] = []
-        row = len(self.scores)
+        row = self.used
         for word in new:
             if not word.isalpha() and not any(map(str.isalpha, word)):
                 self.rows[word] = 0
@@ -193,20 +197,21 @@ class _Scorer:
         if starts:
             sums = np.add.reduceat(self.model.scores[flat], starts)
             lengths = np.diff([*starts, len(flat)])[:, None]
-            self.scores = np.concatenate([self.scores, (sums / lengths).astype(np.float32)])
+            self.scores[self.used : row] = sums / lengths
+            self.used = row
 
     def __call__(self, texts: pd.Series) -> pd.DataFrame:
         names = [UNDETERMINED] * len(texts)
         sure = np.zeros(len(texts))
         if self.model.languages:
-            if len(self.rows) > len(self.model.words) + FLUSH:
-                self._forget()
-            split = [_words(t) if isinstance(t, str) else [] for t in texts]
-            new = set().union(*split).difference(self.rows)
-            self._learn(sorted(new))
-            get = self.rows.__getitem__
-            for i, words in enumerate(split):
-                rows = np.fromiter(map(get, words), np.int64, len(words))
+            for i, text in enumerate(texts):
+                words = _words(text) if isinstance(text, str) else []
+                new = set(words).difference(self.rows)
+                if self.used + len(new) > len(self.scores):
+                    self._forget()
+                    new = set(words).difference(self.rows)
+                self._learn(sorted(new))
+                rows = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
                 if not rows.any():
                     continue
                 total = self.scores[rows].sum(axis=0, dtype=np.float64) + self.model.prior
