@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .common import Query
 from .language import predicted_languages
+from .lines import documents_without_repeated_lines
 from .simhash import simhash_components
 
 QUERIES: dict[str, Query] = {
+    "op4_lines": Query(documents_without_repeated_lines),
     "op6_simhash": Query(simhash_components),
     "op10_language": Query(predicted_languages),
 }
