@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..runtime import BROADCAST_BYTES, measured_bytes
+
 # White space of the word rule: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 GAPS = r"[\x20\x09-\x0D]+"
@@ -40,12 +42,14 @@ def with_columns(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in new], *[v.alias(k) for k, v in columns.items()])
 
 
-def free_name(df: DataFrame, wanted: str) -> str:
-    """``wanted``, or the first variation of it that is not a column of ``df``."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
+def identity(key: str, text: str) -> Column:
+    """16 bytes that tell a document by its key and text; null for a null text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("\n"), F.col(text))))
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table with a broadcast hint if its measured size is below the limit; else a shuffle join follows."""
+    return F.broadcast(df) if measured_bytes(df) <= BROADCAST_BYTES else df
 
 
 def most_frequent(counts: DataFrame, group: list[str], n: str, most: int) -> DataFrame:
