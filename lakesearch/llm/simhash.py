@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import computed_once, written
-from .common import table
+from .common import identity, small, table
 from .components import connected
 
 BITS = 64
@@ -299,3 +299,64 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
 def simhash_components(spark, folder: str) -> DataFrame:
     """op6: fingerprint and component of every document."""
     return near_duplicates(table(spark, folder, "documents"))
+
+
+def sketch(text: str | None, words: int, size: int = 128) -> np.ndarray:
+    """The smallest distinct shingle hashes of a text, signed, sorted."""
+    return np.unique(shingle_hashes(text, words))[:size].view(np.int64)
+
+
+def resemblance(a: np.ndarray, b: np.ndarray, size: int = 128) -> float:
+    """Jaccard similarity of two shingle sets from their sketches; exact for sets of up to ``size``.
+
+    Two empty sets are equal.
+    """
+    one, two = a.view(np.uint64), b.view(np.uint64)
+    both = np.union1d(one, two)[:size]
+    return 1.0 if not len(both) else float(np.isin(both, np.intersect1d(one, two)).mean())
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 7, similar_words: int = 5, least: float = 0.8) -> DataFrame:
+    """``df`` with one row of each group of near duplicates: that of the smallest key, null keys last.
+
+    Fingerprints of ``words``-word shingles propose links within ``bits`` bits; a link
+    counts if the texts' ``similar_words``-word shingle sets also have an estimated
+    Jaccard similarity of ``least``. Texts of one fingerprint count as equal; null and
+    wordless texts are one group. Of rows with equal key and text one stays.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    filled = df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_doc", identity(key, "_text"))
+    rows = computed_once(filled.select("_doc", F.col(key).alias("_key"), "_text"), _fp=fingerprint_column("_text", words))
+    rows = written(rows.select("_doc", "_key", F.col("_fp").alias("fp")), "fingerprints")
+    place = F.struct(F.col("_key").isNull().alias("last"), F.col("_key").alias("key"), F.col("_doc").alias("doc"))
+    distinct = written(rows.groupBy("fp").agg(F.min(place).alias("first"), F.count("*").alias("n")).repartition(parts), "fingerprints")
+    pairs = written(links(distinct.select("fp"), bits), "links")
+    nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    shown = written(distinct.join(nodes, "fp", "left_semi").select("fp", F.col("first.doc").alias("_doc")), "nodes")
+
+    @F.pandas_udf("array<long>")
+    def sketched(texts: pd.Series) -> pd.Series:
+        return pd.Series([sketch(t, similar_words) for t in texts], dtype=object)
+
+    @F.pandas_udf("double")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([resemblance(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+
+    texts = filled.select("_doc", "_text").join(small(shown), "_doc").select("fp", sketched("_text").alias("sketch"))
+    sketches = written(texts.dropDuplicates(["fp"]), "sketches")
+    left, right = sketches.toDF("a", "one"), sketches.toDF("b", "two")
+    roots = connected(pairs.join(left, "a").join(right, "b").where(alike("one", "two") >= least).select("a", "b"))
+    grouped = distinct.join(roots, F.col("fp") == F.col("node"), "left").where("n > 1 or root is not null").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    grouped = written(grouped, "groups")
+    kept = grouped.select("fp", "root").join(grouped.groupBy("root").agg(F.min("first").alias("first")), "root").select("fp", F.col("first.doc").alias("_kept"))
+    gone = written(rows.join(small(written(kept, "groups")), "fp").where("_doc != _kept").select("_doc").distinct(), "copies")
+    stay = filled.join(small(gone), "_doc", "left_anti")
+    if rows.count() > rows.select("_doc").distinct().count():
+        stay = stay.dropDuplicates(["_doc"])
+    return stay.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def simhash_stage(spark, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return one_of_each(docs)
