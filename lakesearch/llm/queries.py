@@ -8,10 +8,12 @@ from .language import predicted_languages
 from .lines import documents_without_repeated_lines
 from .mixing import MIX_SQL, mixed_documents
 from .simhash import simhash_components
+from .toxicity import toxic_documents
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": Query(contaminated_documents),
     "op4_lines": Query(documents_without_repeated_lines),
+    "op5_toxicity": Query(toxic_documents),
     "op6_simhash": Query(simhash_components),
     "op9_mixing": Query(mixed_documents, MIX_SQL),
     "op10_language": Query(predicted_languages),
