@@ -7,6 +7,7 @@ from .decontamination import contaminated_documents
 from .language import predicted_languages
 from .lines import documents_without_repeated_lines
 from .mixing import MIX_SQL, mixed_documents
+from .perspectives import PERSPECTIVES_SQL, perspectives
 from .simhash import simhash_components
 from .toxicity import toxic_documents
 
@@ -15,6 +16,7 @@ QUERIES: dict[str, Query] = {
     "op4_lines": Query(documents_without_repeated_lines),
     "op5_toxicity": Query(toxic_documents),
     "op6_simhash": Query(simhash_components),
+    "op8_perspectives": Query(perspectives, PERSPECTIVES_SQL),
     "op9_mixing": Query(mixed_documents, MIX_SQL),
     "op10_language": Query(predicted_languages),
 }
