@@ -7,12 +7,14 @@ from .decontamination import contaminated_documents
 from .language import predicted_languages
 from .lines import documents_without_repeated_lines
 from .mixing import MIX_SQL, mixed_documents
+from .neighbours import nearest_embeddings
 from .perspectives import PERSPECTIVES_SQL, perspectives
 from .simhash import simhash_components
 from .toxicity import toxic_documents
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": Query(contaminated_documents),
+    "op3_neighbours": Query(nearest_embeddings),
     "op4_lines": Query(documents_without_repeated_lines),
     "op5_toxicity": Query(toxic_documents),
     "op6_simhash": Query(simhash_components),
