@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .common import Query
 from .decontamination import contaminated_documents
+from .extraction import page_texts
 from .language import predicted_languages
 from .lines import documents_without_repeated_lines
 from .mixing import MIX_SQL, mixed_documents
@@ -13,6 +14,7 @@ from .simhash import simhash_components
 from .toxicity import toxic_documents
 
 QUERIES: dict[str, Query] = {
+    "op1_extraction": Query(page_texts),
     "op2_decontamination": Query(contaminated_documents),
     "op3_neighbours": Query(nearest_embeddings),
     "op4_lines": Query(documents_without_repeated_lines),
