@@ -7,6 +7,7 @@ from .decontamination import contaminated_documents
 from .extraction import page_texts
 from .language import predicted_languages
 from .lines import documents_without_repeated_lines
+from .lm import document_scores
 from .mixing import MIX_SQL, mixed_documents
 from .neighbours import nearest_embeddings
 from .perspectives import PERSPECTIVES_SQL, perspectives
@@ -20,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op4_lines": Query(documents_without_repeated_lines),
     "op5_toxicity": Query(toxic_documents),
     "op6_simhash": Query(simhash_components),
+    "op7_recurrent": Query(document_scores),
     "op8_perspectives": Query(perspectives, PERSPECTIVES_SQL),
     "op9_mixing": Query(mixed_documents, MIX_SQL),
     "op10_language": Query(predicted_languages),
