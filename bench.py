@@ -39,11 +39,10 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='lakesearch-bench-')}")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakesearch-bench-"))
     reports = all_reports()
     chosen = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     for name in ("V1_knn", "A2_group_by", "X4_ranked_match"):

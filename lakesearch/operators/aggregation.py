@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any, Union
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..checks import natural_int, one_of, positive_int, text_given, unit_interval
 from ..errors import QueryError
 from ..functions.predicates import FilterInput, filtered
 from ..functions.refs import expression_sql, field_column, reference_name
+from ..runtime import ranked
 from ..schema import DocumentSchema
 from .quantile import exact_quantile
 
@@ -289,19 +290,29 @@ def _reduce_groups(df: DataFrame, names: list[str], reducers: list[Reducer], key
     for r in reducers:
         if r in simple:
             continue
-        safe = df.withColumn("_group", F.to_json(F.struct(*quoted)))
+        safe = df.withColumn("_group", _group_text(df, quoted))
         if r.kind == "quantile":
             part = exact_quantile(safe, ["_group"], field_column(df, r.field), r.argument, r.name)
         else:
             part = _sampled(safe, r, key)
         parts.append(part)
     if len(parts) > 1:
-        parts[0] = parts[0].withColumn("_group", F.to_json(F.struct(*quoted)))
+        parts[0] = parts[0].withColumn("_group", _group_text(parts[0], quoted))
         joined = reduce(lambda a, b: a.join(b, "_group", "left"), parts)
-        return joined.select(*quoted, *[F.col(f"`{r.name}`") for r in reducers])
+        none = F.array().cast
+        return joined.select(
+            *quoted,
+            *[F.coalesce(f"`{r.name}`", none(joined.schema[r.name].dataType)).alias(r.name) if r.kind == "random_sample" else F.col(f"`{r.name}`") for r in reducers],
+        )
     return parts[0]
 
 
+def _group_text(df: DataFrame, keys: list[Column]) -> Column:
+    """A group's keys as one text that is equal where ``groupBy`` holds them equal: -0.0 counts as 0.0."""
+    kinds = [t for _, t in df.select(*keys).dtypes]
+    return F.to_json(F.struct(*[k + F.lit(0.0).cast(t) if t in ("double", "float") else k for k, t in zip(keys, kinds)]))
+
+
 def _needs_own_pass(r: Reducer) -> bool:
     return r.kind == "random_sample" or (r.kind == "quantile" and r.exact)
 
@@ -336,7 +347,6 @@ def _sampled(df: DataFrame, r: Reducer, key: str) -> DataFrame:
     unit = [F.col(f"`{key}`")] if key in df.columns else [F.col(f"`{c}`") for c in df.columns]
     draw = df.select("_group", field_column(df, r.field).alias("_v"), F.xxhash64(*unit, F.lit(SAMPLE_SEED)).alias("_h"))
     draw = draw.where(F.col("_v").isNotNull())
-    order = Window.partitionBy("_group").orderBy("_h", "_v")
-    kept = draw.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= r.argument)
+    kept = ranked(draw, ["_group"], [F.col("_h"), F.col("_v")], r.argument, "_r")
     pairs = F.array_sort(F.collect_list(F.struct("_r", "_v")))
     return kept.groupBy("_group").agg(F.transform(pairs, lambda p: p["_v"]).alias(r.name))

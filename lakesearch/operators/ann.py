@@ -21,9 +21,6 @@ from ..schema import DocumentSchema
 from .search import project_fields
 from .vectors import DEFAULT_ALIAS, batch_search, check_policy, knn, search_metric, vector_name, with_score
 
-# Training rows per list; the sample stays bounded whatever the table size.
-TRAINING_ROWS = 256
-
 
 class IvfIndex:
     """Documents stored by the list of their nearest centroid.
@@ -63,22 +60,34 @@ class IvfIndex:
         seed: int = 17,
         iterations: int = 10,
         schema: DocumentSchema | None = None,
+        dims: int | None = None,
+        training_rows: int | None = None,
     ) -> IvfIndex:
+        """Cluster the vectors, then store every row under its list.
+
+        Training reads all usable rows; ``training_rows`` asks for a sample of about so
+        many instead. Without a schema or ``dims`` the most frequent length counts, and
+        vectors of other lengths, which no distance to it is defined for, are left out.
+        """
         positive_int(nlist, "nlist")
+        positive_int(dims, "dims")
+        positive_int(training_rows, "training_rows")
         metric = search_metric(schema, field, metric)
         key = schema.key if schema is not None else "_key"
         column = vector_name(schema, field)
         vector = F.col(f"`{column}`")
         spec = schema.field(field) if schema is not None else None
-        dims = spec.dims if spec is not None else df.select(F.max(F.size(vector))).first()[0]
+        dims = dims or (spec.dims if spec is not None else common_length(df, vector))
         usable = df.where((F.size(vector) == dims) & ~F.exists(vector, lambda v: v.isNull() | F.isnan(v)))
-        total = usable.count()
-        wanted = nlist * TRAINING_ROWS
-        sample = usable.select(_unit(vector, metric).alias("features"))
-        if total > wanted:
-            sample = sample.sample(fraction=wanted / total, seed=seed)
-        model = KMeans(k=nlist, seed=seed, maxIter=iterations).fit(sample.select(array_to_vector("features").alias("features")))
-        centers = np.array(model.clusterCenters())
+        training = usable.select(_unit(vector, metric).alias("features"))
+        if training_rows is not None and (total := usable.count()) > training_rows:
+            training = training.sample(fraction=training_rows / total, seed=seed)
+        if nlist == 1:
+            means = [F.avg(F.col("features")[i]) for i in range(dims)]
+            centers = np.array([[v or 0.0 for v in training.agg(*means).first()]])
+        else:
+            model = KMeans(k=nlist, seed=seed, maxIter=iterations).fit(training.select(array_to_vector("features").alias("features")))
+            centers = np.array(model.clusterCenters())
         table = pa.table({"list_id": pa.array(range(len(centers)), pa.int32()), "centroid": pa.array(list(centers))})
         spark = df.sparkSession
         spark.createDataFrame(table).coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
@@ -177,6 +186,13 @@ class IvfIndex:
         return with_score(hits, alias, self._metric) if options["normalize"] else hits
 
 
+def common_length(df: DataFrame, vector: Column) -> int:
+    """The most frequent vector length, the smaller of equally frequent ones; 1 without vectors."""
+    lengths = df.where(vector.isNotNull()).groupBy(F.size(vector).alias("length")).count()
+    found = lengths.where("length > 0").orderBy(F.desc("count"), "length").first()
+    return found["length"] if found else 1
+
+
 def _unit(vector: Column, metric: str) -> Column:
     doubles = vector.cast("array<double>")
     if metric != "COSINE":
@@ -236,7 +252,7 @@ class LshIndex:
         key = schema.key if schema is not None else "_key"
         vector = F.col(f"`{vector_name(schema, field)}`")
         spec = schema.field(field) if schema is not None else None
-        dims = spec.dims if spec is not None else df.select(F.max(F.size(vector))).first()[0]
+        dims = spec.dims if spec is not None else common_length(df, vector)
         signed = df.select(key, vector.alias("_v"), bands.column(vector, dims).alias("_signature"))
         signed = signed.where(F.col("_signature").isNotNull())
         rows = signed.select(key, "_v", F.posexplode("_signature").alias("_band", "_hash"))

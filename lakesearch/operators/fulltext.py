@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Union
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..checks import finite, one_of, positive_int
 from ..errors import QueryError
@@ -36,7 +36,7 @@ from ..functions.text import (
     resolve_stopwords,
     shingles,
 )
-from ..runtime import computed_once, equi_join, with_documents, written
+from ..runtime import computed_once, equi_join, ranked, with_documents, written
 from ..schema import DocumentSchema
 from .search import paged, project_fields
 
@@ -118,9 +118,7 @@ def text_search(
     if k is not None:
         first = offset or 0
         page = k if limit is None else limit
-        order = Window.partitionBy(query_id).orderBy(F.desc(alias), key)
-        hits = hits.withColumn("_rank", F.row_number().over(order))
-        hits = hits.where((F.col("_rank") > first) & (F.col("_rank") <= first + page)).drop("_rank")
+        hits = ranked(hits, [query_id], [F.desc(alias), F.col(key)], first + page, "_rank").where(F.col("_rank") > first).drop("_rank")
     if return_fields is None or list(return_fields):
         wide = project_fields(df, schema, return_fields)
         most = queries.count() * (k if limit is None else limit) if k is not None else None

@@ -18,7 +18,7 @@ from ..errors import QueryError
 from ..functions.distance import normalized
 from ..functions.predicates import FilterInput, filtered
 from ..functions.refs import expression_sql, field_column, reference_name
-from ..runtime import with_documents
+from ..runtime import ranked, with_documents
 from ..schema import DocumentSchema
 from .fulltext import text_search
 from .search import project_fields
@@ -224,9 +224,8 @@ def _fused(
     texts: DataFrame, vectors: DataFrame, combine: Union[Rrf, Linear], metric: str, query: str, key: str, alias: str
 ) -> DataFrame:
     part = Window.partitionBy(query)
-    by_text, by_distance = part.orderBy(F.desc("_text"), key), part.orderBy("_distance", key)
-    texts = texts.withColumn("_rank", F.row_number().over(by_text)).where(F.col("_rank") <= combine.window)
-    vectors = vectors.withColumn("_rank", F.row_number().over(by_distance)).where(F.col("_rank") <= combine.window)
+    texts = ranked(texts, [query], [F.desc("_text"), F.col(key)], combine.window, "_rank")
+    vectors = ranked(vectors, [query], [F.col("_distance"), F.col(key)], combine.window, "_rank")
     similarity = F.lit(1.0) - F.col("_distance") if metric == "IP" else normalized(F.col("_distance"), metric)
     vectors = vectors.withColumn("_vector", similarity)
     if isinstance(combine, Rrf):
@@ -246,9 +245,7 @@ def _fused(
 
 
 def _page(df: DataFrame, order: list[Column], query: str, key: str, offset: int, k: int) -> DataFrame:
-    window = Window.partitionBy(query).orderBy(*order, key)
-    ranked = df.withColumn("_place", F.row_number().over(window))
-    return ranked.where((F.col("_place") > offset) & (F.col("_place") <= offset + k)).drop("_place")
+    return ranked(df, [query], [*order, F.col(key)], offset + k, "_place").where(F.col("_place") > offset).drop("_place")
 
 
 def _sort_pairs(sort_by: Iterable[tuple[str, str] | str] | None) -> list[tuple[str, str]]:

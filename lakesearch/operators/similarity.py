@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..checks import natural_number, one_of
-from ..functions.distance import distances, vector_matrix
+from ..functions.distance import DECIMALS, distances, vector_matrix
 from ..functions.hashing import Bands
 from ..runtime import broadcast_if_small, written
 from ..schema import DocumentSchema
@@ -21,21 +21,27 @@ METHODS = ("lsh", "exact")
 CHUNK = 2048
 
 
-def distinct_vectors(df: DataFrame, key: str, field: str) -> tuple[DataFrame, DataFrame]:
-    """One row per distinct vector with its smallest key, and the ``(representative, member)`` copies.
+def usable(vector: Column, metric: str) -> Column:
+    """Whether distances to a vector are defined: no null or NaN inside and, for the cosine, not all zero."""
+    sound = vector.isNotNull() & ~F.exists(vector, lambda v: v.isNull() | F.isnan(v))
+    return F.coalesce(sound & F.exists(vector, lambda v: v != 0) if metric == "COSINE" else sound, F.lit(False))
+
+
+def distinct_vectors(df: DataFrame, key: str, field: str, metric: str) -> tuple[DataFrame, DataFrame]:
+    """One row per distinct usable vector with its smallest key, and the ``(representative, member, _v)`` copies.
 
     Copies collapse on the map side, so a vector shared by a third of all rows costs
     one row per task.
     """
     vector = F.col(f"`{field}`")
-    rows = df.where(vector.isNotNull()).select(F.col(f"`{key}`").alias("_k"), vector.alias("_v"))
+    rows = df.where(usable(vector, metric)).select(F.col(f"`{key}`").alias("_k"), vector.alias("_v"))
     # Written once: the join reads the distinct vectors several times.
     heads = written(rows.groupBy("_v").agg(F.min("_k").alias("_k"), F.count(F.lit(1)).alias("_n")), "vectors")
     many = heads.where("_n > 1").select(F.xxhash64("_v").alias("_h"), "_v", F.col("_k").alias("representative"))
     tagged = rows.withColumn("_h", F.xxhash64("_v"))
     shared = broadcast_if_small(many)
     members = tagged.join(shared, (tagged["_h"] == shared["_h"]) & (tagged["_v"] == shared["_v"]))
-    members = members.select("representative", F.col("_k").alias("member")).where("member != representative")
+    members = members.select("representative", F.col("_k").alias("member"), tagged["_v"]).where("member != representative")
     return heads.select("_k", "_v"), members
 
 
@@ -52,39 +58,69 @@ def similarity_join(
 ) -> DataFrame:
     """``(left_key, right_key, distance)`` of pairs within ``threshold``.
 
-    Without ``right`` the table is joined with itself, each pair once. Identical
-    vectors are first collapsed: every copy is paired with its representative at
-    distance 0, and only representatives meet each other, so a hot vector gives a
-    linear number of pairs and the rest follow through it. With ``right`` every left
-    row meets the distinct right vectors.
+    Without ``right`` the table is joined with itself in compact form: pairs of
+    representatives, each once, and every copy paired with its representative (see
+    ``similarity_classes`` for the two apart). All other pairs follow through them, and
+    a hot vector gives a linear number of rows. With ``right`` every left row meets
+    every right row, copies included. Vectors without a defined distance never occur.
 
     ``lsh`` joins on equal band hashes and rechecks the true distance; it may miss
     pairs at the chance its bands allow. ``exact`` compares every distinct vector in
-    bounded broadcast blocks.
+    bounded broadcast blocks. Vectors of different lengths never pair.
     """
+    pairs, members = _joined(left, right, field, threshold, method, metric, bands, chunk, schema)
+    if right is None:
+        return pairs.unionByName(members.select(F.col("representative").alias("left_key"), F.col("member").alias("right_key"), "distance"))
+    copies = pairs.join(broadcast_if_small(members.select("representative", "member")), F.col("right_key") == F.col("representative"))
+    return pairs.unionByName(copies.select("left_key", F.col("member").alias("right_key"), "distance"))
+
+
+def similarity_classes(
+    df: DataFrame,
+    field: str = "",
+    threshold: float = 0.2,
+    method: str = "lsh",
+    metric: str | None = None,
+    bands: Bands | None = None,
+    chunk: int = CHUNK,
+    schema: DocumentSchema | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The self-join in two tables: pairs of representatives, and ``(representative, member, distance)``.
+
+    A representative has the smallest key of its equal vectors. Members are listed if
+    their distance, which under the inner product need not be 0, is within ``threshold``.
+    """
+    return _joined(df, None, field, threshold, method, metric, bands, chunk, schema)
+
+
+def _joined(left, right, field, threshold, method, metric, bands, chunk, schema) -> tuple[DataFrame, DataFrame]:
     natural_number(threshold, "threshold")
     one_of(method, METHODS, "method")
     metric = search_metric(schema, field, metric)
     key = schema.key if schema is not None else "_key"
     column = vector_name(schema, field)
     own = right is None
-    heads, members = distinct_vectors(left if own else right, key, column)
-    probes = heads if own else left.select(F.col(f"`{key}`").alias("_k"), F.col(f"`{column}`").alias("_v"))
-    if method == "exact":
-        pairs = _exact(probes, heads, threshold, metric, own)
-    else:
-        spec = schema.field(field) if schema is not None else None
-        dims = spec.dims if spec is not None else heads.select(F.max(F.size("_v"))).first()[0] or 1
-        bands = bands or (Bands.for_cosine(threshold) if metric == "COSINE" else Bands(16, 4, metric, 4 * threshold or 1.0))
-        pairs = _banded(probes, heads, dims, threshold, metric, bands, chunk, own)
+    heads, members = distinct_vectors(left if own else right, key, column, metric)
+    probes = heads if own else left.where(usable(F.col(f"`{column}`"), metric)).select(F.col(f"`{key}`").alias("_k"), F.col(f"`{column}`").alias("_v"))
+    spec = schema.field(field) if schema is not None else None
+    # The lengths that vectors have; a declared field has one.
+    sizes = [spec.dims] if spec is not None else sorted(r[0] for r in heads.select(F.size("_v")).distinct().collect())
+    pairs = None
+    for dims in sizes or [1]:
+        right_rows, left_rows = (rows.where(F.size("_v") == dims) for rows in (heads, probes))
+        if method == "exact":
+            found = _exact(left_rows, right_rows, threshold, metric, own)
+        else:
+            spread = bands or (Bands.for_cosine(threshold) if metric == "COSINE" else Bands(16, 4, metric, 4 * threshold or 1.0))
+            found = _banded(left_rows, right_rows, dims, threshold, metric, spread, chunk, own)
+        pairs = found if pairs is None else pairs.unionByName(found)
     if own:
-        copies = members.select(
-            F.col("representative").alias("left_key"), F.col("member").alias("right_key"), F.lit(0.0).alias("distance")
-        )
+        itself = F.lit(0.0)
         if metric == "IP":
-            copies = copies.limit(0)
-        pairs = pairs.unionByName(copies)
-    return pairs
+            itself = F.round(1.0 - F.aggregate(F.col("_v").cast("array<double>"), F.lit(0.0), lambda a, v: a + v * v), DECIMALS)
+        members = members.where(F.size("_v").isin(*sizes or [1])).select("representative", "member", itself.alias("distance"))
+        members = members.where(F.col("distance") <= threshold)
+    return pairs, members
 
 
 def _exact(probes: DataFrame, heads: DataFrame, threshold: float, metric: str, own: bool) -> DataFrame:

@@ -19,7 +19,7 @@ from ..checks import natural_number, one_of, positive_int
 from ..errors import QueryError
 from ..functions.distance import MARGIN, distance_column, normalized, raw_distances, rounded, vector_matrix
 from ..functions.predicates import FilterInput, filtered
-from ..runtime import with_documents
+from ..runtime import computed_once, with_documents
 from ..schema import DocumentSchema, normalize_metric
 from .search import paged, project_fields, sorted_rows
 
@@ -145,7 +145,8 @@ def with_distance(
     if vector is None or len(vector) == 0:
         raise QueryError("Vector cannot be empty")
     column = F.col(f"`{vector_name(schema, field)}`")
-    return df.withColumn(alias, distance_column(column, vector, metric)).where(F.col(alias).isNotNull())
+    found = computed_once(df.withColumn("_vector", column).drop(alias), **{alias: distance_column(F.col("_vector"), vector, metric)})
+    return found.drop("_vector").where(F.col(alias).isNotNull())
 
 
 def with_score(df: DataFrame, alias: str, metric: str) -> DataFrame:

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import logging
-import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 log = logging.getLogger("lakesearch")
 
@@ -21,14 +20,12 @@ _HIT_BYTES = 256
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir`` that every executor can reach.
 
-    Without that setting a local session gets a temporary folder; a cluster
-    session must name one, because a machine-local folder is lost with its host.
+    Where that setting is absent, the folder given to ``SparkContext.setCheckpointDir``
+    is taken; without either it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="lakesearch-")
+        raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -101,6 +98,25 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.stack(F.lit(1), *columns.values()).alias(*columns))
 
 
+# Above this many rows per group Spark no longer trims a ranked window before its shuffle.
+_TRIMMED = 1000
+_SALTS = 32
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[Column], most: int, rank: str) -> DataFrame:
+    """The first ``most`` rows of each group with their ``rank``, never a whole group in one task.
+
+    Spark trims small ``most`` on the map side itself. For larger ones a first window
+    over (group, salt) leaves at most ``most`` rows for each of the salts.
+    """
+    if most > _TRIMMED:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")]), F.lit(_SALTS))
+        part = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = df.withColumn("_salt", salt).withColumn(rank, F.row_number().over(part))
+        df = df.where(F.col(rank) <= most).drop("_salt", rank)
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= most)
+
+
 def with_documents(documents: DataFrame, hits: DataFrame, key: str, most: int | None) -> DataFrame:
     """Join final hits to their documents.
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.distance import distance_column
 from ..functions.predicates import FilterInput, filtered
 from ..operators.vectors import DEFAULT_ALIAS, search_metric, vector_name
+from ..runtime import computed_once
 from ..schema import DocumentSchema
 from ..sources.collection import Collection
 from ..sources.load import load
@@ -70,5 +71,6 @@ def standing_match(
     if vector is None:
         return rows
     name = search_metric(schema, field, metric)
-    distance = distance_column(F.col(f"`{vector_name(schema, field)}`"), vector, name)
-    return rows.withColumn(alias, distance).where(F.col(alias) <= threshold)
+    rows = rows.withColumn("_vector", F.col(f"`{vector_name(schema, field)}`")).drop(alias)
+    found = computed_once(rows, **{alias: distance_column(F.col("_vector"), vector, name)})
+    return found.drop("_vector").where(F.col(alias) <= threshold)

@@ -19,10 +19,9 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='lakesearch-tests-')}")
     )
     session = builder.getOrCreate()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakesearch-tests-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
