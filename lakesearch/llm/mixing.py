@@ -71,6 +71,7 @@ def mixed(
     """
     rows = df.select("*", F.col(key).cast("string").alias("_key"), F.col(source).alias("_from"), n_words(text).alias("_size"))
     per = targets(rows.select("_from", "_size"), "_from", "_size", weights, most_copies)
+    per = per.withColumnsRenamed({"source_size": "_z", "target": "_t"})
     rows = rows.join(per, F.col("_from").eqNullSafe(F.col("_source"))).drop("_source", "_from")
     slim = rows.select("_sid", "_size", F.coalesce("_key", F.lit("")).alias("_key"))
     n, digits = df.count(), 0
@@ -96,16 +97,13 @@ def mixed(
     same = Window.partitionBy("_sid", "_size", "_unit").orderBy(F.lit(0))
     rows = rows.withColumn("_unit", F.coalesce("_key", F.lit(""))).withColumn("_repeat", F.row_number().over(same) - 1)
     rows = rows.join(units, ["_sid", "_size", "_unit"])
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rate = F.when(F.col("_z") > 0, F.col("_t") / F.col("_z")).otherwise(F.lit(0.0))
     at = (F.col("_base") + F.col("_repeat")).cast("double")
     copies = F.floor((at + 1) * F.col("_rate") + offset(seed)) - F.floor(at * F.col("_rate") + offset(seed))
     rows = rows.withColumn("_rate", rate).withColumn("_copies", copies)
-    found = rows.select(
-        *[F.col(f"`{c}`") for c in df.columns if c.lower() not in ("source_size", "target")],
-        F.col("_size").alias("_s"), F.col("source_size").alias("_z"), F.col("target").alias("_t"), "_copies",
-    )
-    out = with_columns(found, size=F.col("_s"), source_size=F.col("_z"), target=F.col("_t"), copies=F.col("_copies"), taken=F.col("_copies") * F.col("_s"))
-    return out.drop("_s", "_z", "_t", "_copies")
+    found = rows.select(*[F.col(f"`{c}`") for c in df.columns], "_size", "_z", "_t", "_copies")
+    out = with_columns(found, size=F.col("_size"), source_size=F.col("_z"), target=F.col("_t"), copies=F.col("_copies"), taken=F.col("_copies") * F.col("_size"))
+    return out.drop("_size", "_z", "_t", "_copies")
 
 
 def mixed_documents(spark, folder: str) -> DataFrame:
