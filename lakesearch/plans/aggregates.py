@@ -63,6 +63,34 @@ def _samples(spark, folder) -> DataFrame:
     return found.to_df().select("event_type", "n", "sampled", "inside")
 
 
+def _signed_zeros(spark, folder) -> DataFrame:
+    """Events in groups 0.0, -0.0 (one group) and 1.0."""
+    side = F.when(F.col("event_type") == "click", F.lit(1.0)).when(F.col("event_id") % 2 == 0, F.lit(0.0)).otherwise(F.lit(-0.0))
+    return table(spark, folder, "events").withColumn("side", side)
+
+
+def _signed_zero_quantile(spark, folder) -> DataFrame:
+    found = Aggregation(_signed_zeros(spark, folder), None, EVENTS).group_by("side", [agg.quantile("value", 0.5, "median", exact=True), agg.count("n")])
+    return _rounded(found.to_df()).withColumn("side", F.abs("side"))
+
+
+def _signed_zero_sample(spark, folder) -> DataFrame:
+    """As many sampled values as asked for, and none for a group without values."""
+    rows = _signed_zeros(spark, folder).withColumn("some", F.when(F.col("side") != 1, F.col("user_id")))
+    found = Aggregation(rows, None, EVENTS).group_by("side", [agg.random_sample("some", 5, "sample"), agg.count("n")])
+    return found.to_df().select(F.abs("side").alias("side"), F.size("sample").alias("sampled"), "n")
+
+
+def _sketch_rank(spark, folder) -> DataFrame:
+    """The sketch median lies between the exact quantiles one thousandth of the ranks to its sides."""
+    found = Aggregation(table(spark, folder, "lineitem"), None, LINES).group_by(
+        "l_returnflag",
+        [agg.quantile("l_extendedprice", 0.5, "sketch"), agg.quantile("l_extendedprice", 0.499, "low", exact=True),
+         agg.quantile("l_extendedprice", 0.501, "high", exact=True)],
+    )
+    return found.apply("sketch BETWEEN low AND high", "close").to_df().select("l_returnflag", "close")
+
+
 def _scores(spark, folder) -> DataFrame:
     docs = Aggregation(table(spark, folder, "documents"), Num("n_chars").gt(100), DOCUMENTS)
     docs = docs.add_scores("restin heed dans", "text").verbatim()
@@ -119,6 +147,15 @@ REPORTS: dict[str, Report] = {
         _lines(agg.quantile("l_extendedprice", 0.9, "q90", exact=True), agg.count("n"), by=("l_returnflag",)),
         "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.9), 4) AS q90, count(*) AS n FROM lineitem GROUP BY 1"),
     "A12_quantile_sketch": Report(_lines(agg.quantile("l_extendedprice", 0.5, "median"), by=("l_returnflag",))),
+    "A12_sketch_rank": Report(_sketch_rank, "SELECT DISTINCT l_returnflag, true AS close FROM lineitem"),
+    "A12_signed_zero_groups": Report(
+        _signed_zero_quantile,
+        "SELECT CASE WHEN event_type = 'click' THEN 1.0 ELSE 0.0 END::DOUBLE AS side, round(quantile_cont(value, 0.5), 4) AS median, "
+        "count(*) AS n FROM events GROUP BY 1"),
+    "A15_signed_zero_groups": Report(
+        _signed_zero_sample,
+        "SELECT CASE WHEN event_type = 'click' THEN 1.0 ELSE 0.0 END::DOUBLE AS side, CASE WHEN min(event_type = 'click') THEN 0 ELSE 5 END::INTEGER "
+        "AS sampled, count(*) AS n FROM events GROUP BY 1"),
     "A13_to_list": Report(
         _lines(agg.to_list("l_linestatus", "statuses"), by=("l_returnflag",)),
         "SELECT l_returnflag, list_sort(list(DISTINCT l_linestatus)) AS statuses FROM lineitem GROUP BY 1"),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.hashing import Bands
 from ..functions.predicates import Num
 from ..operators.ann import IvfIndex, LshIndex
-from ..operators.similarity import similarity_join
+from ..operators.similarity import similarity_classes, similarity_join
 from ..operators.vectors import knn, vector_range
 from ..runtime import shared_folder
 from .tables import EMBEDDINGS, Report, embeddings_schema, table
@@ -80,6 +80,72 @@ def _join(method: str):
     return run
 
 
+def with_copies(spark, folder) -> DataFrame:
+    """The embeddings, and every vector of label 3 twice more under other keys."""
+    docs = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    again = docs.where("label = 3").withColumn("step", F.explode(F.array(F.lit(1_000_000), F.lit(2_000_000))))
+    again = again.select((F.col("vec_id") + F.col("step")).alias("vec_id"), "embedding", "label")
+    return docs.unionByName(again)
+
+
+def _join_with_copies(spark, folder) -> DataFrame:
+    pairs, members = similarity_classes(with_copies(spark, folder), "embedding", 0.6, "exact", schema=EMBEDDINGS)
+    pairs = pairs.select(F.lit("pair").alias("part"), "left_key", "right_key", "distance")
+    members = members.select(F.lit("member").alias("part"), F.col("representative").alias("left_key"), F.col("member").alias("right_key"), "distance")
+    return _rounded(pairs.unionByName(members), "distance")
+
+
+def _two_tables_with_copies(spark, folder) -> DataFrame:
+    rows = with_copies(spark, folder)
+    found = similarity_join(rows.where("label = 4"), rows.where("label = 3"), "embedding", 0.8, "exact", schema=EMBEDDINGS)
+    return _rounded(found, "distance")
+
+
+def _inner_product_copies(spark, folder) -> DataFrame:
+    """Under the inner product a copy's distance is its own: unit vectors and their copies pair, shorter ones do not."""
+    rows = table(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("_key"),
+        F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(i == F.col("n_regionkey") % 4, F.when(F.col("n_regionkey") == 4, 0.5).otherwise(1.0)).otherwise(0.0)).alias("v"),
+    )
+    return similarity_join(rows, field="v", threshold=0.0, method="exact", metric="IP")
+
+
+def _recall(found: DataFrame, true: DataFrame, on: list[str], least: float, alias: str) -> DataFrame:
+    """One row: whether every found row is a true row, and whether at least ``least`` of these were found."""
+    tagged = true.select(*on, F.lit(1).alias("_true")).join(found.select(*on, F.lit(1).alias("_found")), on, "full")
+    return tagged.agg(
+        F.coalesce(F.count("_found") == F.count(F.when(F.col("_true").isNotNull(), F.col("_found"))), F.lit(True)).alias("all_true"),
+        (F.count(F.when(F.col("_true").isNotNull(), F.col("_found"))) >= least * F.count("_true")).alias(alias),
+    )
+
+
+def _join_recall(spark, folder) -> DataFrame:
+    """Hash bands against the exact join: no wrong pair, nine tenths of the right ones."""
+    return _recall(_join("lsh")(spark, folder), _join("exact")(spark, folder), ["left_key", "right_key", "distance"], 0.9, "enough")
+
+
+def _one_recall(search, k: int, least: float, where=None):
+    def run(spark, folder) -> DataFrame:
+        found = search(spark, folder).select("vec_id", F.lit(1).alias("_found"))
+        docs = table(spark, folder, "embeddings")
+        true = knn(docs, first_vector(spark, folder), "embedding", k=k, where=where, fields=[], schema=EMBEDDINGS)
+        hits = true.select("vec_id").join(found, "vec_id", "left").select(F.coalesce("_found", F.lit(0)).alias("hit"))
+        return hits.agg((F.count("*") == k).alias("full_page"), (F.avg("hit") >= least).alias("enough"))
+
+    return run
+
+
+def _batch_recall(spark, folder) -> DataFrame:
+    """Four of the lists for every query: recall against the exact answer, and exact distances."""
+    found = _ivf_batch(spark, folder, 4).select("query_id", "vec_id", F.col("vector_distance").alias("d"))
+    true = _batch_knn(spark, folder).select("query_id", "vec_id", F.col("vector_distance").alias("true_d"))
+    both = true.join(found, ["query_id", "vec_id"], "left")
+    return both.agg(
+        (F.avg(F.col("d").isNotNull().cast("int")) >= 0.3).alias("enough"),
+        F.coalesce(F.max(F.abs(F.col("d") - F.col("true_d"))) < 1e-6, F.lit(True)).alias("exact_distances"),
+    )
+
+
 def ivf_index(spark: SparkSession, folder: str, lists: int = _LISTS) -> IvfIndex:
     docs = table(spark, folder, "embeddings")
     return IvfIndex.build(docs, "embedding", shared_folder(spark, "ivf"), lists, schema=EMBEDDINGS)
@@ -173,6 +239,30 @@ REPORTS: dict[str, Report] = {
         f"SELECT query_id AS left_key, vec_id AS right_key, round(d, 6) + 0.0 AS distance FROM ({_PAIRS}) "
         "WHERE query_id < vec_id AND d <= 0.6"),
     "V8_similarity_join_lsh": Report(_join("lsh")),
+    "V8_join_recall": Report(_join_recall, "SELECT true AS all_true, true AS enough"),
+    "V8_join_with_copies": Report(
+        _join_with_copies,
+        f"WITH every AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings UNION ALL SELECT vec_id + step, embedding::DOUBLE[] "
+        f"FROM embeddings, (VALUES (1000000), (2000000)) s(step) WHERE label = 3), heads AS (SELECT min(vec_id) AS vec_id, x FROM every GROUP BY x) "
+        f"SELECT 'member' AS part, h.vec_id AS left_key, e.vec_id AS right_key, 0.0::DOUBLE AS distance FROM heads h JOIN every e ON h.x = e.x "
+        f"WHERE h.vec_id <> e.vec_id UNION ALL SELECT 'pair', left_key, right_key, round(d, 6) + 0.0 FROM (SELECT a.vec_id AS left_key, "
+        f"b.vec_id AS right_key, {distance_sql('COSINE', 'b.x', 'a.x')} AS d FROM heads a, heads b WHERE a.vec_id < b.vec_id) WHERE d <= 0.6"),
+    "V8_two_tables_with_copies": Report(
+        _two_tables_with_copies,
+        f"SELECT left_key, right_key + step AS right_key, round(d, 6) + 0.0 AS distance FROM (SELECT a.vec_id AS left_key, b.vec_id AS right_key, "
+        f"{distance_sql('COSINE', 'b.x', 'a.x')} AS d FROM (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE label = 4) a, "
+        "(SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE label = 3) b), (VALUES (0), (1000000), (2000000)) s(step) WHERE d <= 0.8"),
+    "V8_inner_product_copies": Report(
+        _inner_product_copies,
+        "SELECT min(h.n_nationkey) AS left_key, n.n_nationkey AS right_key, 0.0::DOUBLE AS distance FROM nation n JOIN nation h USING (n_regionkey) "
+        "WHERE n_regionkey < 4 GROUP BY n.n_nationkey HAVING min(h.n_nationkey) <> n.n_nationkey"),
+    "V9_some_lists_recall": Report(
+        _one_recall(_ivf(nprobe=4), 10, 0.2), "SELECT true AS full_page, true AS enough"),
+    "V9_batch_recall": Report(_batch_recall, "SELECT true AS enough, true AS exact_distances"),
+    "V10_lsh_recall": Report(_one_recall(lambda s, d: _lsh(s, d), 10, 0.9), "SELECT true AS full_page, true AS enough"),
+    "V11_probe_batches_recall": Report(
+        _one_recall(_ivf(where=Num("label").eq(3), policy="BATCHES", batch_size=2), 10, 0.2, Num("label").eq(3)),
+        "SELECT true AS full_page, true AS enough"),
     "V9_ivf_all_lists": Report(_ivf(nprobe=_LISTS), _top()),
     "V9_ivf_some_lists": Report(_ivf(nprobe=4)),
     "V9_ivf_batch_all_lists": Report(_ivf_batch, _best(10)),
