@@ -158,6 +158,14 @@ def _hashed_vectors(spark, folder) -> DataFrame:
     return embed(table(spark, folder, "documents").select("doc_id", "text"), "text", "vector", HashingVectorizer(64))
 
 
+def _vector_properties(spark, folder) -> DataFrame:
+    """Length, unit norm, and one vector for all copies of a text."""
+    vectors = _hashed_vectors(spark, folder)
+    norm = F.aggregate("vector", F.lit(0.0).cast("double"), lambda a, v: a + v.cast("double") * v.cast("double"))
+    copies = vectors.groupBy("text").agg(F.count_distinct("vector").alias("n"))
+    return vectors.join(copies, "text").select("doc_id", F.size("vector").alias("dims"), (F.abs(norm - 1) < 1e-5).alias("unit"), (F.col("n") == 1).alias("same"))
+
+
 def _embedded_search(spark, folder) -> DataFrame:
     model = HashingVectorizer(64)
     docs = embed(table(spark, folder, "documents").select("doc_id", "text"), "text", "vector", model)
@@ -241,5 +249,6 @@ REPORTS: dict[str, Report] = {
         "AS y FROM (SELECT doc_id, length(text) / 2.0::DOUBLE AS x, (length(text) - length(replace(text, 'e', ''))) / 2.0::DOUBLE "
         "AS y FROM documents)"),
     "U2_hashed_vectors": Report(_hashed_vectors),
+    "U2_vector_properties": Report(_vector_properties, "SELECT doc_id, 64::INTEGER AS dims, true AS unit, true AS same FROM documents"),
     "U3_embedded_search": Report(_embedded_search),
 }

@@ -41,6 +41,16 @@ def _latest_per_user(spark, folder, ttl: float | None = None) -> DataFrame:
     return target.read().select("_key", "event_id", "event_type", "value")
 
 
+def _past_expiry(spark, folder) -> DataFrame:
+    """Events of even users load for a minute, the others for good; read a day later."""
+    target = scratch_collection(spark, USERS)
+    stream = stream_of(spark, folder, "events").withColumn("moment", F.struct("ts", "event_id"))
+    for ttl, own in ((60.0, "user_id % 2 = 0"), (None, "user_id % 2 = 1")):
+        stream_load(stream.where(own), target, shared_folder(spark, "checkpoint"), id_field="user_id", order="moment", ttl=ttl, source=own,
+                    available_now=True).awaitTermination()
+    return target.read(now=F.current_timestamp() + F.expr("INTERVAL 1 DAY")).select("_key", "event_id", "event_type", "value")
+
+
 def _standing_filter(spark, folder) -> DataFrame:
     stream = standing_match(stream_of(spark, folder, "events"), Tag("event_type").eq("error") & Num("value").gt(50), schema=EVENTS)
     return drained(stream.select("event_id", "user_id", "value"))
@@ -60,6 +70,7 @@ _LATEST = (
 REPORTS: dict[str, Report] = {
     "ST1_stream_load": Report(_latest_per_user, _LATEST),
     "ST2_stream_load_with_expiry": Report(lambda s, d: _latest_per_user(s, d, 86400.0), _LATEST),
+    "ST2_stream_past_expiry": Report(_past_expiry, f"{_LATEST} AND user_id % 2 = 1"),
     "ST3_standing_filter": Report(
         _standing_filter, "SELECT event_id, user_id, value FROM events WHERE event_type = 'error' AND value > 50"),
     "ST3_standing_vector": Report(
