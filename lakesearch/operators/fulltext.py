@@ -38,7 +38,7 @@ from ..functions.text import (
 )
 from ..runtime import computed_once, equi_join, ranked, with_documents, written
 from ..schema import DocumentSchema
-from .search import paged, project_fields
+from .search import paged, project_fields, sorted_rows
 
 SCORERS = ("BM25STD", "BM25", "TFIDF", "TFIDF.DOCNORM", "DISMAX", "DOCSCORE")
 DECIMALS = 9
@@ -87,9 +87,14 @@ def text_search(
     query_text: str = "text",
     index=None,
     schema: DocumentSchema | None = None,
+    sort_by: str | None = None,
+    sort_order: str | None = None,
 ) -> DataFrame:
     """Documents holding any query term, best score first, at most ``k`` per query.
 
+    For a single text ``sort_by`` orders all matches by a field instead of the score,
+    before the page is cut.
+
     ``fields`` is one field or a mapping of field to weight. ``term_weights`` weighs
     single words. ``k=None`` returns every match. A text whose tokens are all
     stopwords gives no rows.
@@ -101,14 +106,23 @@ def text_search(
         raise QueryError("Pass either text or queries")
     if text is None and queries is None:
         raise QueryError("A text search needs a text or a table of queries")
+    if sort_by is not None and text is None:
+        raise QueryError("sort_by needs a single text")
+    if sort_by is not None and index is not None:
+        every = dict(scorer=scorer, where=where, k=None, term_weights=term_weights, stopwords=stopwords, stem=stem, sound=sound)
+        found = text_search(df, text, fields, doc_score=doc_score, alias=alias, index=index, schema=schema, **every)
+        found = sorted_rows(project_fields(found, schema, return_fields, [alias, sort_by]), sort_by, sort_order, key)
+        return found if k is None else paged(found, offset, k if limit is None else limit)
     if queries is None and index is None:
         terms = literal_terms(text, query)
         found = _search_literal(df, terms, query, where, key, alias, doc_score, schema)
         page = k if limit is None else limit
+        found = project_fields(found, schema, return_fields, [alias, *([sort_by] if sort_by else [])])
+        if sort_by is not None:
+            found = sorted_rows(found, sort_by, sort_order, key)
         if k is None:
-            return project_fields(found, schema, return_fields, [alias])
-        found = project_fields(found, schema, return_fields, [alias])
-        return paged(found.orderBy(F.desc(alias), key), offset, page)
+            return found
+        return paged(found if sort_by else found.orderBy(F.desc(alias), key), offset, page)
     if queries is None:
         queries = df.sparkSession.createDataFrame([(0, text)], "_query long, _text string")
         single, query_id, query_text = True, "_query", "_text"

@@ -117,6 +117,14 @@ def _fetch(spark, folder) -> DataFrame:
     return target.fetch_many(ids).select("_key", "c_name", "c_acctbal", "_found")
 
 
+def _fetch_table(spark, folder) -> DataFrame:
+    """The customer of every order; the loaded customers are those of even number."""
+    target = scratch_collection(spark, CUSTOMER_HASH)
+    load(table(spark, folder, "customer").where("c_custkey % 2 = 0").select("c_custkey", "c_name"), target, id_field="c_custkey")
+    asked = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return target.fetch_table(asked, "o_custkey").select("o_orderkey", "c_name", "_found")
+
+
 def _two_prefixes(spark, folder) -> DataFrame:
     suppliers = scratch_collection(spark, SUPPLIER_HASH)
     load(table(spark, folder, "supplier").select("s_suppkey", "s_name"), suppliers, id_field="s_suppkey")
@@ -219,6 +227,9 @@ REPORTS: dict[str, Report] = {
         _fetch,
         "SELECT 'customer:' || id AS _key, c_name, c_acctbal, c_name IS NOT NULL AS _found FROM (VALUES ('17'), "
         "('no such id'), ('3'), ('120'), ('17')) v(id) LEFT JOIN customer ON c_custkey::VARCHAR = id"),
+    "S7_fetch_table": Report(
+        _fetch_table,
+        "SELECT o_orderkey, c_name, c_custkey IS NOT NULL AS _found FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 2 = 0"),
     "S8_two_prefixes": Report(
         _two_prefixes,
         "SELECT 'customer:' || c_custkey AS _key, 'customer:' AS _prefix, c_name, NULL AS s_name FROM customer UNION ALL "

@@ -201,6 +201,9 @@ REPORTS: dict[str, Report] = {
     "X4_ranked_match": Report(_search(), _top()),
     "X4_ranked_match_filtered": Report(
         _search(where=Tag("lang").eq("fr") & Num("n_chars").gt(300)), _top(where="lang = 'fr' AND n_chars > 300")),
+    "O1_text_sorted_page": Report(
+        _search(sort_by="n_chars", sort_order="DESC", offset=3, limit=7),
+        f"SELECT doc_id, lang, n_chars, score FROM ({_top(k=1_000_000_000)}) JOIN documents USING (doc_id, lang) ORDER BY n_chars DESC, doc_id LIMIT 7 OFFSET 3"),
     "X4_batch_match": Report(_batch(), _ranked()),
     "X4_batch_match_filtered": Report(
         _batch(where=Tag("lang").eq("en"), k=3), _ranked("lang = 'en'", 3)),

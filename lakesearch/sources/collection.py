@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..errors import LakeSearchError, SchemaError
-from ..runtime import shared_folder
+from ..runtime import broadcast_if_small, shared_folder
 from ..schema import DocumentSchema
 from . import files
 
@@ -69,6 +69,20 @@ class Collection:
         rows = live_rows(self._rows(state, wanted)).drop(_BUCKET, EXPIRY)
         return matched_requests(requests, rows, self.schema.key)
 
+    def fetch_table(self, requests: DataFrame, id_field: str) -> DataFrame:
+        """Every row of ``requests`` with the stored row of its id, and ``_found``.
+
+        Any number of requests: adaptive execution broadcasts the smaller side or joins by
+        shuffle. Stored fields that ``requests`` has too are left out, null ids find nothing.
+        """
+        key = self.schema.key
+        taken = {c.lower() for c in requests.columns}
+        rows = self.read()
+        stored = rows.select(F.col(f"`{key}`").cast("string").alias("_stored"), *[F.col(f"`{c}`") for c in rows.columns if c.lower() not in taken])
+        asked = requests.withColumn("_wanted", F.when(F.col(f"`{id_field}`").isNotNull(), self.schema.key_column(F.col(f"`{id_field}`"))))
+        found = asked.join(stored, F.col("_wanted") == F.col("_stored"), "left")
+        return found.withColumn("_found", F.col("_stored").isNotNull()).drop("_wanted", "_stored")
+
     def fetch(self, doc_id: str) -> DataFrame:
         return self.fetch_many([doc_id])
 
@@ -202,8 +216,8 @@ def request_frame(spark: SparkSession, ids: list[str], schema: DocumentSchema) -
 
 
 def matched_requests(requests: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Every request with its row, if any; the ids came from the driver, so they are few."""
-    hits = rows.join(F.broadcast(requests), rows[key].cast("string") == requests["_wanted"])
+    """Every request with its row, if any."""
+    hits = rows.join(broadcast_if_small(requests), rows[key].cast("string") == requests["_wanted"])
     rest = [c for c in rows.columns if c != key]
     found = requests.join(hits.drop("_wanted"), "_pos", "left").orderBy("_pos")
     return found.select(F.col("_wanted").alias(key), *[F.col(f"`{c}`") for c in rest], F.col(f"`{key}`").isNotNull().alias("_found"))
