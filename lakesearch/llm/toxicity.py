@@ -54,29 +54,41 @@ def grams(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "toxic", toxic_rows: int = 1000, clean_rows: int = 2000) -> ToxicityModel:
-    """Fit on a bounded sample of the labelled rows: their expected numbers are parameters.
+def sampled(labels: DataFrame, key: str = "doc_id", label: str = "toxic", toxic_rows: int = 1000, clean_rows: int = 2000) -> tuple[DataFrame, float | None]:
+    """A bounded sample of the labels, and the share of toxic ones among all; their expected numbers are parameters.
 
-    The sample is drawn by a hash of the text, the same in every run; texts are used
-    whole, and only their n-gram buckets reach the driver. Rows whose label is not 0 or
-    1 or whose text is null teach nothing. With one class only, every text gets the
-    smoothed share of toxic rows; with no rows, one half.
+    The sample is drawn by a hash of the key, the same in every run. Null keys and labels
+    other than 0 and 1 are left out. The share is None without labels.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("toxic")).where("text is not null and toxic in (0, 1)")
-    size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    rows = labels.select(key, F.col(label).cast("int").alias(label)).where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
+    size = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
-    if not toxic or not clean:
-        share = (toxic + 1) / (toxic + clean + 2)
-        return ToxicityModel(np.zeros(1 << BUCKET_BITS, np.float32), float(np.log(share / (1 - share))))
-    share = F.when(F.col("toxic") == 1, F.lit(toxic_rows / toxic)).otherwise(F.lit(clean_rows / clean))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
+    share = F.when(F.col(label) == 1, F.lit(toxic_rows / max(toxic, 1))).otherwise(F.lit(clean_rows / max(clean, 1)))
+    sample = rows.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < share * 1_000_000)
+    return sample, toxic / (toxic + clean) if size else None
+
+
+def train(labelled: DataFrame, text: str = "text", label: str = "toxic", share: float | None = None) -> ToxicityModel:
+    """Fit on all labelled rows, so give it a bounded sample (see ``sampled``).
+
+    ``share`` is the toxic share among all labels, where the sample's is another. Texts
+    are used whole; only their n-gram buckets reach the driver. Rows whose label is not
+    0 or 1 or whose text is null teach nothing. With one class only, every text gets the
+    smoothed share of toxic rows; with no rows, one half.
+    """
+    sample = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("toxic")).where("text is not null and toxic in (0, 1)")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "grams": [grams(t) for t in batch["text"]]})
+            yield pd.DataFrame({"toxic": batch["toxic"], "grams": [grams(t).tobytes() for t in batch["text"]]})
 
-    found = sample.mapInPandas(features, "toxic int, grams array<int>").toPandas()
-    return _fitted([np.asarray(g, np.int32) for g in found["grams"]], found["toxic"].to_numpy(), toxic / (toxic + clean))
+    found = sample.mapInPandas(features, "toxic int, grams binary").toArrow()
+    labels = found["toxic"].to_numpy()
+    toxic, rows = int(labels.sum()), len(labels)
+    if toxic in (0, rows):
+        smoothed = (toxic + 1) / (rows + 2)
+        return ToxicityModel(np.zeros(1 << BUCKET_BITS, np.float32), float(np.log(smoothed / (1 - smoothed))))
+    return _fitted([np.frombuffer(g.as_buffer(), np.int32) for g in found["grams"]], labels, toxic / rows if share is None else share)
 
 
 def _fitted(texts: list[np.ndarray], toxic: np.ndarray, share: float) -> ToxicityModel:
@@ -94,7 +106,7 @@ def _fitted(texts: list[np.ndarray], toxic: np.ndarray, share: float) -> Toxicit
     ratio = (ratio / max(np.sqrt((norms**2).mean()) if len(norms) else 0.0, 1e-9)).astype(np.float32)
     blocks = []
     for at in range(0, len(texts), ROWS):
-        own = texts[at : at + ROWS]
+        own, texts[at : at + ROWS] = texts[at : at + ROWS], [None] * len(texts[at : at + ROWS])
         sizes = np.array([len(g) for g in own])
         blocks.append((np.concatenate(own), np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes, (1 / np.sqrt(sizes)).astype(np.float32), toxic[at : at + ROWS]))
     weights, bias = np.zeros(buckets, np.float32), 0.0
@@ -142,5 +154,6 @@ def toxic_documents(spark, folder: str) -> DataFrame:
     """op5: the toxicity of every document, learnt from the labels outside the held-out fold."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").where(~in_fold("doc_id", 3, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = train(docs.where(~in_fold("doc_id", 3, 1)).join(labels, "doc_id"))
+    sample, share = sampled(labels)
+    model = train(docs.join(F.broadcast(sample), "doc_id"), share=share)  # some thousand rows, whatever the size of the tables
     return scored(docs, model).select("doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "score", "predicted")
