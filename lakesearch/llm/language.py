@@ -23,8 +23,8 @@ from .common import in_fold, most_frequent, table, with_columns
 UNDETERMINED = "und"
 GRAMS = (4, 3, 2, 1)
 SMOOTHING = 0.5
-FLUSH = 300_000
-REMEMBERED = 300_000
+FLUSH = 50_000
+REMEMBERED = 150_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 

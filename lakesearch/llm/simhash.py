@@ -28,7 +28,7 @@ from .components import connected
 BITS = 64
 SEED = 42
 PREFIX = 12
-CELLS = 2_000_000
+CELLS = 200_000
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -234,17 +234,15 @@ def links(distinct: DataFrame, bits: int = 3) -> DataFrame:
     spark = distinct.sparkSession
     if plan is None:
         return spark.createDataFrame([], "a long, b long")
-    rings = {(w, e): masks_of(w, e) for w in {len(g) for g in plan.groups} for e in range(bits + 1) if ball(w, e) <= CELLS}
-    shared = spark.sparkContext.broadcast((plan.groups, plan.near, plan.bits, rings))
+    shared = spark.sparkContext.broadcast((plan.groups, plan.near, plan.bits))
 
-    def opened() -> tuple[Partitions, dict]:
-        groups, near, budget, masks = shared.value
+    def opened() -> Partitions:
         own = Partitions.__new__(Partitions)
-        own.groups, own.near, own.bits = groups, near, budget
-        return own, masks
+        own.groups, own.near, own.bits = shared.value
+        return own
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, _ = opened()
+        own = opened()
         for batch in batches:
             fps = batch["fp"].to_numpy()
             matrix = bit_matrix(fps)
@@ -252,7 +250,8 @@ def links(distinct: DataFrame, bits: int = 3) -> DataFrame:
                 yield pd.DataFrame({"part": np.int32(i), "value": own.values(matrix, i), "b": fps})
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, masks = opened()
+        own = opened()
+        rings: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             fps = batch["fp"].to_numpy()
             matrix = bit_matrix(fps)
@@ -263,7 +262,9 @@ def links(distinct: DataFrame, bits: int = 3) -> DataFrame:
                     rows = np.flatnonzero(spent[:, i] == e)
                     if not len(rows):
                         continue
-                    ring = masks[len(group), e]
+                    ring = rings.get((len(group), e))
+                    if ring is None:
+                        ring = rings[len(group), e] = masks_of(len(group), e)
                     step = max(1, CELLS // len(ring))
                     for at in range(0, len(rows), step):
                         some = rows[at : at + step]
