@@ -75,7 +75,7 @@ def _query_tokens(**options):
 
 
 def _stems(spark, folder) -> DataFrame:
-    words = table(spark, folder, "documents").where("lang = 'en'").select(F.explode(tokens(F.col("text"))).alias("word"))
+    words = table(spark, folder, "documents").select(F.explode(tokens(F.col("text"))).alias("word"))
     words = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return words.withColumn("stem", F.element_at(stemmed(F.array("word")), 1))
 

@@ -233,3 +233,28 @@ def test_batch_knn_trims_before_the_shuffle(spark, clustered):
     plan = knn(docs, field="v", queries=queries)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning")
     assert "Partial" in plan
+
+
+def test_a_vector_crosses_to_python_once(products, product_schema):
+    for found in (
+        knn(products, [1.0, 0.0, 0.0, 0.0], "embedding", k=2, schema=product_schema),
+        vector_range(products, [1.0, 0.0, 0.0, 0.0], "embedding", threshold=0.5, schema=product_schema),
+    ):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+
+
+def test_vectors_of_another_length_do_not_empty_an_index(spark, tmp_path):
+    rows = spark.createDataFrame([(i, [float(i + 1), 1.0]) for i in range(20)] + [(i, [1.0, 1.0, 1.0]) for i in (20, 21)], "_key long, v array<double>")
+    index = IvfIndex.build(rows, "v", f"file://{tmp_path}/ivf", 1)
+    assert index.table.count() == 20 and index.search([1.0, 1.0], k=1, nprobe=1).first()["_key"] == 0
+
+
+def test_similarity_join_keeps_copies_and_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (10, [1.0, 0.0]), (11, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [1.0, 0.0, 0.0]), (6, [1.0, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "_key long, v array<double>")
+    for method in ("exact", "lsh"):
+        own = {(r["left_key"], r["right_key"]) for r in similarity_join(table, field="v", threshold=0.1, method=method).collect()}
+        assert own == {(1, 10), (1, 11), (5, 6)}
+        two = similarity_join(table.where("_key = 1"), table.where("_key >= 10"), "v", 0.1, method)
+        assert {(r["left_key"], r["right_key"], r["distance"]) for r in two.collect()} == {(1, 10, 0.0), (1, 11, 0.0)}
