@@ -317,7 +317,7 @@ def resemblance(a: np.ndarray, b: np.ndarray, size: int = 128) -> float:
     return 1.0 if not len(both) else float(np.isin(both, np.intersect1d(one, two)).mean())
 
 
-def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 7, similar_words: int = 5, least: float = 0.8) -> DataFrame:
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 11, similar_words: int = 5, least: float = 0.8) -> DataFrame:
     """``df`` with one row of each group of near duplicates: that of the smallest key, null keys last.
 
     Fingerprints of ``words``-word shingles propose links within ``bits`` bits; a link
