@@ -317,41 +317,97 @@ def resemblance(a: np.ndarray, b: np.ndarray, size: int = 128) -> float:
     return 1.0 if not len(both) else float(np.isin(both, np.intersect1d(one, two)).mean())
 
 
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two arrays of distinct values; two empty ones are equal."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+
+
+def alike(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    """The ``u, v`` of ``pairs`` whose texts (``t, _text``) have ``words``-word shingle sets of similarity ``least``.
+
+    Sketches drop what is far off, by four times their error; the full sets decide.
+    """
+    size = 128
+
+    @F.pandas_udf("array<long>")
+    def sketched(found: pd.Series) -> pd.Series:
+        return pd.Series([sketch(x, words, size) for x in found], dtype=object)
+
+    @F.pandas_udf("array<long>")
+    def whole(found: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(x, words)).view(np.int64) for x in found], dtype=object)
+
+    @F.pandas_udf("boolean")
+    def perhaps(one: pd.Series, two: pd.Series) -> pd.Series:
+        return pd.Series([resemblance(x, y, size) >= least - 0.15 for x, y in zip(one, two, strict=True)], dtype=bool)
+
+    @F.pandas_udf("boolean")
+    def surely(one: pd.Series, two: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(x, y) >= least for x, y in zip(one, two, strict=True)], dtype=bool)
+
+    for made, kept in ((sketched, perhaps), (whole, surely)):
+        nodes = written(pairs.select(F.col("u").alias("t")).union(pairs.select("v")).distinct(), "nodes")
+        sets = written(texts.join(small(nodes), "t", "left_semi").dropDuplicates(["t"]).select("t", made("_text").alias("set")), "sets")
+        left, right = sets.toDF("u", "one"), sets.toDF("v", "two")
+        pairs = written(pairs.join(left, "u").join(right, "v").where(kept("one", "two")).select("u", "v"), "alike")
+    return pairs
+
+
+# Rounds in which texts of one fingerprint meet one of them; the rest then meet each other.
+LEADERS = 3
+
+
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 11, similar_words: int = 5, least: float = 0.8) -> DataFrame:
     """``df`` with one row of each group of near duplicates: that of the smallest key, null keys last.
 
     Fingerprints of ``words``-word shingles propose links within ``bits`` bits; a link
-    counts if the texts' ``similar_words``-word shingle sets also have an estimated
-    Jaccard similarity of ``least``. Texts of one fingerprint count as equal; null and
-    wordless texts are one group. Of rows with equal key and text one stays.
+    counts if the texts' ``similar_words``-word shingle sets also have a Jaccard
+    similarity of ``least``. Different texts of one fingerprint are compared with one of
+    them, and where that fails, with one of the rest. Null and wordless texts are one
+    group. Of rows with equal key and text one stays.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     filled = df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_doc", identity(key, "_text"))
-    rows = computed_once(filled.select("_doc", F.col(key).alias("_key"), "_text"), _fp=fingerprint_column("_text", words))
-    rows = written(rows.select("_doc", "_key", F.col("_fp").alias("fp")), "fingerprints")
+    named = filled.select("_doc", F.col(key).alias("_key"), "_text", F.unhex(F.md5("_text")).alias("t"))
+    rows = computed_once(named, _fp=fingerprint_column("_text", words))
+    rows = written(rows.select("_doc", "_key", "t", F.col("_fp").alias("fp")), "fingerprints")
+    texts = named.select("t", "_text")
     place = F.struct(F.col("_key").isNull().alias("last"), F.col("_key").alias("key"), F.col("_doc").alias("doc"))
-    distinct = written(rows.groupBy("fp").agg(F.min(place).alias("first"), F.count("*").alias("n")).repartition(parts), "fingerprints")
-    pairs = written(links(distinct.select("fp"), bits), "links")
-    nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    shown = written(distinct.join(nodes, "fp", "left_semi").select("fp", F.col("first.doc").alias("_doc")), "nodes")
-
-    @F.pandas_udf("array<long>")
-    def sketched(texts: pd.Series) -> pd.Series:
-        return pd.Series([sketch(t, similar_words) for t in texts], dtype=object)
-
-    @F.pandas_udf("double")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([resemblance(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
-
-    texts = filled.select("_doc", "_text").join(small(shown), "_doc").select("fp", sketched("_text").alias("sketch"))
-    sketches = written(texts.dropDuplicates(["fp"]), "sketches")
-    left, right = sketches.toDF("a", "one"), sketches.toDF("b", "two")
-    roots = connected(pairs.join(left, "a").join(right, "b").where(alike("one", "two") >= least).select("a", "b"))
-    grouped = distinct.join(roots, F.col("fp") == F.col("node"), "left").where("n > 1 or root is not null").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    distinct = written(rows.groupBy("t", "fp").agg(F.min(place).alias("first"), F.count("*").alias("n")).repartition(parts), "texts")
+    leaders, found = [], []
+    left = distinct.select("t", "fp")
+    for _ in range(LEADERS):
+        lead = written(left.groupBy("fp").agg(F.min("t").alias("u"), F.count("*").alias("_texts")), "leaders")
+        leaders.append(lead.select("fp", "u"))
+        met = left.join(lead.where("_texts > 1").select("fp", "u"), "fp").where("t != u").select("fp", "u", F.col("t").alias("v"))
+        met = written(met, "met")
+        near = alike(met.select("u", "v"), texts, similar_words, least)
+        found.append(near)
+        left = written(met.join(near, ["u", "v"], "left_anti").select(F.col("v").alias("t"), "fp"), "left")
+        if left.isEmpty():
+            break
+    else:
+        rest = left.select("fp", F.col("t").alias("u"))
+        leaders.append(rest)
+        met = rest.join(left.select("fp", F.col("t").alias("v")), "fp").where("u < v").select("u", "v")
+        found.append(alike(written(met, "met"), texts, similar_words, least))
+    led = leaders[0]
+    for more in leaders[1:]:
+        led = led.union(more)
+    led = written(led, "leaders")
+    close = written(links(distinct.select("fp").distinct(), bits), "links")
+    between = close.join(led.toDF("a", "u"), "a").join(led.toDF("b", "v"), "b").select("u", "v")
+    # Those of one fingerprint that are led by different texts have met already.
+    met = alike(written(between, "met"), texts, similar_words, least)
+    for more in found:
+        met = met.union(more)
+    roots = connected(met, "u", "v")
+    grouped = distinct.join(roots, F.col("t") == F.col("node"), "left").where("n > 1 or root is not null").select("t", "first", F.coalesce("root", "t").alias("root"))
     grouped = written(grouped, "groups")
-    kept = grouped.select("fp", "root").join(grouped.groupBy("root").agg(F.min("first").alias("first")), "root").select("fp", F.col("first.doc").alias("_kept"))
-    gone = written(rows.join(small(written(kept, "groups")), "fp").where("_doc != _kept").select("_doc").distinct(), "copies")
+    kept = grouped.select("t", "root").join(grouped.groupBy("root").agg(F.min("first").alias("first")), "root").select("t", F.col("first.doc").alias("_kept"))
+    gone = written(rows.join(small(written(kept, "groups")), "t").where("_doc != _kept").select("_doc").distinct(), "copies")
     stay = filled.join(small(gone), "_doc", "left_anti")
     if rows.count() > rows.select("_doc").distinct().count():
         stay = stay.dropDuplicates(["_doc"])
