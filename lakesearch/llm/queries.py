@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .common import Query
 from .decontamination import contaminated_documents
+from .exact import EXACT_SQL, exact_copies
 from .extraction import page_texts
 from .language import predicted_languages
 from .lines import documents_without_repeated_lines
@@ -25,4 +26,5 @@ QUERIES: dict[str, Query] = {
     "op8_perspectives": Query(perspectives, PERSPECTIVES_SQL),
     "op9_mixing": Query(mixed_documents, MIX_SQL),
     "op10_language": Query(predicted_languages),
+    "op13_exact": Query(exact_copies, EXACT_SQL),
 }
