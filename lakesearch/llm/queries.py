@@ -12,6 +12,7 @@ from .lm import document_scores
 from .mixing import MIX_SQL, mixed_documents
 from .neighbours import nearest_embeddings
 from .perspectives import PERSPECTIVES_SQL, perspectives
+from .repair import repaired_conversations
 from .simhash import simhash_components
 from .toxicity import toxic_documents
 
@@ -26,5 +27,6 @@ QUERIES: dict[str, Query] = {
     "op8_perspectives": Query(perspectives, PERSPECTIVES_SQL),
     "op9_mixing": Query(mixed_documents, MIX_SQL),
     "op10_language": Query(predicted_languages),
+    "op12_repair": Query(repaired_conversations),
     "op13_exact": Query(exact_copies, EXACT_SQL),
 }
