@@ -15,6 +15,7 @@ from .perspectives import PERSPECTIVES_SQL, perspectives
 from .repair import repaired_conversations
 from .simhash import simhash_components
 from .toxicity import toxic_documents
+from .variants import spelling_variants
 
 QUERIES: dict[str, Query] = {
     "op1_extraction": Query(page_texts),
@@ -27,6 +28,7 @@ QUERIES: dict[str, Query] = {
     "op8_perspectives": Query(perspectives, PERSPECTIVES_SQL),
     "op9_mixing": Query(mixed_documents, MIX_SQL),
     "op10_language": Query(predicted_languages),
+    "op11_variants": Query(spelling_variants),
     "op12_repair": Query(repaired_conversations),
     "op13_exact": Query(exact_copies, EXACT_SQL),
 }
