@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import written
+from .bloom import FILTER_BYTES, MASKS, filled, held, masks, mixed, part_of
 from .common import table
 
 LEAST_CHARS = 6
@@ -32,9 +33,6 @@ LETTERS = np.array([*range(0x61, 0x7B), *range(0xC0, 0x100)], np.uint8)
 
 LONGEST = 64  # words of this many characters or more share a filter
 WORDS_PER_BLOCK = 2
-PROBES = 5
-FILTER_BYTES = 64 << 20
-SLICE = 1 << 16  # blocks that one task fills
 CELLS = 1 << 19
 
 
@@ -61,16 +59,6 @@ def vocabulary(occurrences: DataFrame, least_count: int = LEAST_COUNT) -> DataFr
     return occurrences.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_count)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """64 well-mixed bits of each number."""
-    x = x * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(31)
-
-
 def cell_hashes(letters: np.ndarray, first: int = 0) -> np.ndarray:
     """The share of each (row, position) in the hash of a word; ``first`` is the position of column 0."""
     places = np.arange(first, first + letters.shape[1], dtype=np.uint64) << np.uint64(8)
@@ -86,14 +74,9 @@ def by_length(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield index, np.frombuffer(joined, np.uint8).reshape(len(index), size)
 
 
-def placed(hashes: np.ndarray, blocks: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``part, block, mask`` of hashes in a filter of ``parts`` parts of ``blocks`` blocks."""
-    part = (hashes * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40)) % np.uint64(parts)
-    block = (hashes >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
-    mask = np.zeros(hashes.shape, np.uint64)
-    for i in range(PROBES):
-        mask |= np.uint64(1) << (hashes >> np.uint64(6 * i) & np.uint64(63))
-    return part, block, mask
+def shard(size: int, part):
+    """The number of a filter."""
+    return part * (LONGEST + 1) + size
 
 
 def layouts(counts: dict[int, int], limit: int = FILTER_BYTES) -> list[dict[int, tuple[int, int, list[int]]]]:
@@ -112,34 +95,23 @@ def layouts(counts: dict[int, int], limit: int = FILTER_BYTES) -> list[dict[int,
     return passes
 
 
-def filters(vocab: DataFrame, layout: dict[int, tuple[int, int, list[int]]]) -> dict[tuple[int, int], np.ndarray]:
-    """The blocks of each (length, part) of a pass; at most ``FILTER_BYTES`` reach the driver."""
+def filters(vocab: DataFrame, layout: dict[int, tuple[int, int, list[int]]]) -> dict[int, np.ndarray]:
+    """The filters of a pass, by ``shard``; at most ``FILTER_BYTES`` reach the driver."""
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for index, letters in by_length(batch["word"].tolist()):
+            for _, letters in by_length(batch["word"].tolist()):
                 size = min(letters.shape[1], LONGEST)
                 if size not in layout:
                     continue
                 blocks, parts, wanted = layout[size]
                 hashes = np.bitwise_xor.reduce(cell_hashes(letters), axis=1)
-                part, block, mask = placed(hashes, blocks, parts)
+                part = part_of(hashes, parts)
                 here = np.isin(part, np.array(wanted, np.uint64))
-                yield pd.DataFrame({"size": size, "part": part[here].astype(np.int32), "slice": (block[here] // np.uint64(SLICE)).astype(np.int32), "block": block[here].astype(np.int64), "mask": mask[here].view(np.int64)})
-
-    def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        size, part, at = map(int, key)
-        cells = np.zeros(min(SLICE, layout[size][0] - at * SLICE), np.int64)
-        np.bitwise_or.at(cells, rows["block"].to_numpy() - at * SLICE, rows["mask"].to_numpy())
-        return pd.DataFrame({"size": [size], "part": [part], "slice": [at], "cells": [cells.tobytes()]})
+                yield masks(shard(size, part[here].astype(np.int64)), hashes[here], blocks)
 
-    found = vocab.select("word").mapInPandas(keys, "size int, part int, slice int, block long, mask long")
-    slices = found.groupBy("size", "part", "slice").applyInPandas(fill, "size int, part int, slice int, cells binary")
-    out = {(size, part): np.zeros(blocks, np.uint64) for size, (blocks, _, wanted) in layout.items() for part in wanted}
-    for row in slices.toLocalIterator():
-        cells = np.frombuffer(row["cells"], np.uint64)
-        out[row["size"], row["part"]][row["slice"] * SLICE : row["slice"] * SLICE + len(cells)] = cells
-    return out
+    found = vocab.select("word").mapInPandas(keys, MASKS)
+    return filled(found, {shard(size, p): blocks for size, (blocks, _, wanted) in layout.items() for p in wanted})
 
 
 def edits(letters: np.ndarray, alphabet: np.ndarray, least_chars: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
@@ -176,20 +148,19 @@ def candidates(vocab: DataFrame, layout: dict[int, tuple[int, int, list[int]]],
     """``word, edit, shorter``: generated edits that the broadcast filters ``known`` may hold."""
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = known.value
+        filters = known.value
         for batch in batches:
             texts = batch["word"].tolist()
             for index, letters in by_length(texts):
                 for top, at, hashes, valid, size in edits(letters, alphabet, least_chars):
-                    shard = min(size, LONGEST)
-                    if shard not in layout:
+                    kind = min(size, LONGEST)
+                    if kind not in layout:
                         continue
-                    blocks, parts, wanted = layout[shard]
-                    part, block, mask = placed(hashes, blocks, parts)
+                    _, parts, wanted = layout[kind]
                     for p in wanted:
-                        hit = valid & ((held[shard, p][block] & mask) == mask)
+                        hit = valid & held(filters[shard(kind, p)], hashes)
                         if parts > 1:
-                            hit &= part == np.uint64(p)
+                            hit &= part_of(hashes, parts) == np.uint64(p)
                         found = np.nonzero(hit)
                         owners = [texts[i] for i in index[found[0] + top]]
                         places = (found[1] + at).tolist()
