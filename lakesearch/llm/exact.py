@@ -73,13 +73,14 @@ def collect_state(
 
 
 def unequal_digests(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """Digests under which a row's bytes differ from those at the place that the state names.
+    """The digest of each row whose bytes differ from those at the place that the state names.
 
-    Only rows of ``hits`` are shuffled; a digest of very many rows is one side of a join that adaptive execution splits.
+    Only rows of ``hits`` are shuffled. Adaptive execution splits a digest of very many rows, as nothing
+    after the join needs a digest's rows together.
     """
     seen = rows.select("_digest", "_text", "_at").join(hits.select("_digest", "_kept"), "_digest")
     named = seen.where(F.col("_at") == F.col("_kept")).select("_digest", F.col("_text").alias("_bytes"))
-    return seen.where(F.col("_at") != F.col("_kept")).join(named.hint("merge"), "_digest").where(F.col("_text") != F.col("_bytes")).select("_digest").distinct()
+    return seen.where(F.col("_at") != F.col("_kept")).join(named.hint("merge"), "_digest").where(F.col("_text") != F.col("_bytes")).select("_digest")
 
 
 def deduplicated(
@@ -105,7 +106,7 @@ def deduplicated(
     held = collect_state(spark, path, schema, key, text, state or shared_folder(spark, "exact"), digest, bytes_per_batch)
     rows = _placed(spark.read.schema(schema).parquet(path), key, text, digest)
     hits = written(held.where("_n > 1"), "hits")
-    unequal = written(unequal_digests(rows, small(hits)), "unequal")
+    unequal = written(unequal_digests(rows, small(hits)), "unequal").distinct()
     if unequal.isEmpty():
         found = rows.join(small(hits), "_digest", "left")
     else:
