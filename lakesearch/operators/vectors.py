@@ -1,15 +1,16 @@
 """Exact vector search: nearest neighbours and distance ranges.
 
-One query vector is a literal of the plan. A table of queries is cut into blocks
-of bounded size; each block is broadcast once and meets the documents in one
-Arrow kernel, which keeps the best rows per query of its partition. The shuffle
-after it carries at most partitions x queries x k rows.
+One query vector is a literal of the plan. A table of queries that fits a measured
+bound is broadcast and meets the documents where they lie. Any larger table meets
+them on a grid: documents are dealt to rows and queries to columns by hash, each cell
+of the grid is one stretch of a sorted task, in which the queries come first and the
+documents stream past, and both tables are read once. Either way a kernel keeps the
+best rows per query, so the shuffle after it carries at most tasks x queries x k rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,10 @@ from ..schema import DocumentSchema, normalize_metric
 from .search import paged, project_fields, sorted_rows
 
 POLICIES = ("ADHOC_BF", "BATCHES")
+JOINS = ("auto", "broadcast", "grid")
 DEFAULT_ALIAS = "vector_distance"
 
-# Bytes of query vectors broadcast at a time, and distance cells computed at a time.
+# Bytes of query vectors that are broadcast or held by one cell of a grid, and distances computed at a time.
 QUERY_BLOCK_BYTES = 32 * 1024 * 1024
 CELLS = 4_000_000
 
@@ -49,10 +51,12 @@ def knn(
     query_id: str = "query_id",
     query_vector: str = "vector",
     schema: DocumentSchema | None = None,
+    join: str = "auto",
 ) -> DataFrame:
     """The ``k`` nearest documents, nearest first; the filter applies before ``k`` is taken.
 
-    Pass ``vector`` for one query or ``queries`` (id and vector columns) for many.
+    Pass ``vector`` for one query or ``queries`` (id and vector columns) for many; ``join`` says how these
+    reach the documents: ``broadcast``, over a ``grid``, or by their measured size.
     ``offset``/``limit`` page inside the ``k`` rows. With ``normalize`` a ``score``
     column is added beside the raw distance.
     """
@@ -61,7 +65,7 @@ def knn(
     source = filtered(df, where, schema)
     key = schema.key if schema is not None else "_key"
     if queries is not None:
-        hits = batch_search(source, queries, field, metric, key, query_id, query_vector, k=k, alias=alias)
+        hits = batch_search(source, queries, field, metric, key, query_id, query_vector, k=k, alias=alias, join=join)
         most = queries.count() * k if fields else None
         return _finish_batch(hits.drop("rank"), df, schema, fields, alias, normalize, metric, query_id, most)
     found = with_distance(source, vector, field, metric, alias, schema)
@@ -91,6 +95,7 @@ def vector_range(
     query_id: str = "query_id",
     query_vector: str = "vector",
     schema: DocumentSchema | None = None,
+    join: str = "auto",
 ) -> DataFrame:
     """Every document within ``threshold`` of a query vector.
 
@@ -102,7 +107,7 @@ def vector_range(
     source = filtered(df, where, schema)
     key = schema.key if schema is not None else "_key"
     if queries is not None:
-        hits = batch_search(source, queries, field, metric, key, query_id, query_vector, radius=threshold, alias=alias)
+        hits = batch_search(source, queries, field, metric, key, query_id, query_vector, radius=threshold, alias=alias, join=join)
         return _finish_batch(hits, df, schema, fields, alias, normalize, metric, query_id)
     found = with_distance(source, vector, field, metric, alias, schema).where(F.col(alias) <= threshold)
     found = project_fields(found, schema, fields, [alias, *([sort_by] if sort_by else [])])
@@ -166,16 +171,18 @@ def batch_search(
     alias: str = DEFAULT_ALIAS,
     cell: str | None = None,
     probes: str | None = None,
+    join: str = "auto",
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """``(query_id, key, distance[, rank])`` for a table of queries.
 
     With ``cell``/``probes`` a query only meets the documents whose cell is in its
     ``probes`` array; this is how the inverted-file search reuses the kernel.
     """
-    columns = [f"`{key}`", F.col(f"`{field}`").alias("_vector")]
-    if cell is not None:
-        columns.append(F.col(f"`{cell}`").alias("_cell"))
-    source = docs.select(*columns)
+    one_of(join, JOINS, "join")
+    limit = block_bytes or QUERY_BLOCK_BYTES
+    source = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{field}`").alias("vector"), *([F.col(f"`{cell}`").alias("cell")] if cell else []))
+    asked = queries.select(F.col(f"`{query_id}`").alias("id"), F.col(f"`{query_vector}`").alias("vector"), *([F.col(f"`{probes}`").alias("probes")] if probes else []))
     schema = T.StructType(
         [
             T.StructField(query_id, queries.schema[query_id].dataType),
@@ -183,77 +190,120 @@ def batch_search(
             T.StructField(alias, T.DoubleType()),
         ]
     )
-    parts = []
-    for block in query_blocks(queries, query_id, query_vector, probes):
-        kernel = _block_kernel(docs.sparkSession, block, schema, metric, k, radius)
-        parts.append(source.mapInArrow(kernel, schema))
-    if not parts:
-        hits = docs.sparkSession.createDataFrame([], schema)
+    size = vector_bytes(asked)
+    if join == "broadcast" or (join == "auto" and size <= limit):
+        hits = source.mapInArrow(_broadcast_kernel(docs.sparkSession, asked.toArrow(), schema, metric, k, radius), schema)
     else:
-        hits = reduce(DataFrame.union, parts)
+        hits = _grid(source, asked, -(-size // limit) or 1).mapInArrow(_grid_kernel(schema, metric, k, radius), schema)
     if k is None:
         return hits
     order = Window.partitionBy(query_id).orderBy(alias, key)
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def query_blocks(
-    queries: DataFrame, query_id: str, query_vector: str, probes: str | None = None
-) -> Iterator[pa.Table]:
-    """The query table in Arrow blocks of at most about ``QUERY_BLOCK_BYTES``.
+def vector_bytes(df: DataFrame) -> int:
+    """Bytes of the ``vector`` column, by one aggregate."""
+    return df.agg(F.sum(F.greatest(F.size("vector"), F.lit(1)).cast("long") * 8 + 64)).first()[0] or 0
 
-    The block count follows from one aggregate over the table, so a block that
-    reaches the driver is bounded whatever the number of queries.
+
+def _grid(docs: DataFrame, queries: DataFrame, columns: int) -> DataFrame:
+    """Both tables in one: ``cell number, is document, ...``, each cell's queries before its documents.
+
+    A query goes to every row of its column, a document to every column of its row. There are as many
+    rows as keep all tasks busy, so what is copied follows from the number of tasks and the size of the
+    queries. Documents only stream past, so a cell of any height fits its task.
     """
-    columns = [F.col(f"`{query_id}`").alias("id"), F.col(f"`{query_vector}`").alias("vector")]
-    if probes is not None:
-        columns.append(F.col(f"`{probes}`").alias("probes"))
-    table = queries.select(*columns)
-    size = table.agg(F.sum(F.greatest(F.size("vector"), F.lit(1)).cast("long") * 8 + 64)).first()[0] or 0
-    count = -(-size // QUERY_BLOCK_BYTES)
-    for b in range(count):
-        block = table if count == 1 else table.where(F.pmod(F.xxhash64("id"), F.lit(count)) == b)
-        yield block.toArrow()
-
-
-def _block_kernel(spark, block: pa.Table, schema: T.StructType, metric: str, k: int | None, radius: float | None):
+    rows = max(1, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // columns))
+    dealt = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = queries.withColumn("_column", dealt(queries, columns)).withColumn("_row", each(rows))
+    held = docs.withColumn("_row", dealt(docs, rows)).withColumn("_column", each(columns))
+    number = (F.col("_row") * columns + F.col("_column")).alias("grid")
+    asked = asked.select(number, F.lit(False).alias("document"), *queries.columns)
+    held = held.select(number, F.lit(True).alias("document"), *docs.columns)
+    both = asked.unionByName(held, allowMissingColumns=True)
+    # As many partitions as cells; those that share one are taken one after the other.
+    return both.repartition(rows * columns, "grid").sortWithinPartitions("grid", "document")
+
+
+def _broadcast_kernel(spark, block: pa.Table, schema: T.StructType, metric: str, k: int | None, radius: float | None):
     shared = spark.sparkContext.broadcast(block)
-    id_name, key_name, distance_name = schema.fieldNames()
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        groups = list(_by_dims(table, metric))
-        best = _TopK(k, table.num_rows) if k is not None else None
+        meeting = _Meeting(shared.value, schema, metric, k, radius)
+        for batch in batches:
+            yield from meeting.documents(batch)
+        yield from meeting.best()
+
+    return search
+
+
+def _grid_kernel(schema: T.StructType, metric: str, k: int | None, radius: float | None):
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, asked, meeting = None, [], None
         for batch in batches:
-            keys = batch.column(0)
-            for dims, q, rows in groups:
-                x, docs = vector_matrix(batch.column(1), dims)
-                if not len(docs):
+            numbers = batch.column("grid").to_numpy()
+            kinds = batch.column("document").to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero((np.diff(numbers) != 0) | (kinds[1:] != kinds[:-1])) + 1
+            for start, end in zip([0, *turns], [*turns, len(numbers)], strict=True):
+                if start == end:
                     continue
-                for part, chosen in _cells(batch, docs, table, rows):
-                    step = max(1, CELLS // max(1, len(chosen)))
-                    for at in range(0, len(part), step):
-                        piece = part[at : at + step]
-                        d = raw_distances(x[piece], q[chosen], metric)
-                        found = keys.take(pa.array(docs[piece]))
-                        if best is not None:
-                            best.add(d, rows[chosen], found)
-                            continue
-                        hit_doc, hit_query = np.nonzero(d <= radius + MARGIN)
-                        near = rounded(d[hit_doc, hit_query])
-                        hit = near <= radius
-                        yield _rows(table, rows[chosen][hit_query[hit]], found.take(pa.array(hit_doc[hit])), near[hit])
-        if best is not None:
-            for query_rows, found, near in best.results():
-                yield _rows(table, query_rows, found, near)
-
-    def _rows(table, query_rows, keys, values):
-        ids = table.column("id").take(pa.array(query_rows, pa.int64())).combine_chunks()
-        return pa.RecordBatch.from_arrays([ids, keys, pa.array(values)], names=[id_name, key_name, distance_name])
+                if numbers[start] != cell:
+                    if meeting is not None:
+                        yield from meeting.best()
+                    cell, asked, meeting = numbers[start], [], None
+                rows = batch.slice(start, end - start)
+                if not kinds[start]:
+                    asked.append(rows.select([c for c in rows.schema.names if c in ("id", "vector", "probes")]))
+                elif asked:
+                    meeting = meeting or _Meeting(pa.Table.from_batches(asked), schema, metric, k, radius)
+                    yield from meeting.documents(rows.select([c for c in rows.schema.names if c in ("key", "vector", "cell")]))
+        if meeting is not None:
+            yield from meeting.best()
 
     return search
 
 
+class _Meeting:
+    """A block of queries that documents stream past."""
+
+    def __init__(self, table: pa.Table, schema: T.StructType, metric: str, k: int | None, radius: float | None):
+        self._table, self._names, self._metric, self._radius = table, schema.fieldNames(), metric, radius
+        self._groups = list(_by_dims(table, metric))
+        self._best = _TopK(k, table.num_rows) if k is not None else None
+
+    def documents(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """The documents ``key, vector[, cell]`` within the radius; with ``k`` they are only remembered."""
+        keys, vectors = batch.column("key"), batch.column("vector")
+        for dims, q, rows in self._groups:
+            x, docs = vector_matrix(vectors, dims)
+            if not len(docs):
+                continue
+            for part, chosen in _cells(batch, docs, self._table, rows):
+                step = max(1, CELLS // max(1, len(chosen)))
+                for at in range(0, len(part), step):
+                    piece = part[at : at + step]
+                    d = raw_distances(x[piece], q[chosen], self._metric)
+                    found = keys.take(pa.array(docs[piece]))
+                    if self._best is not None:
+                        self._best.add(d, rows[chosen], found)
+                        continue
+                    hit_doc, hit_query = np.nonzero(d <= self._radius + MARGIN)
+                    near = rounded(d[hit_doc, hit_query])
+                    hit = near <= self._radius
+                    yield self._rows(rows[chosen][hit_query[hit]], found.take(pa.array(hit_doc[hit])), near[hit])
+
+    def best(self) -> Iterator[pa.RecordBatch]:
+        """The ``k`` best documents of each query so far."""
+        if self._best is not None:
+            for query_rows, found, near in self._best.results():
+                yield self._rows(query_rows, found, near)
+
+    def _rows(self, query_rows: np.ndarray, keys: pa.Array, values: np.ndarray) -> pa.RecordBatch:
+        ids = self._table.column("id").take(pa.array(query_rows, pa.int64())).combine_chunks()
+        return pa.RecordBatch.from_arrays([ids, keys, pa.array(values)], names=self._names)
+
+
 class _TopK:
     """The ``k`` smallest (distance, key) pairs per query, over everything added so far."""
 
@@ -314,10 +364,10 @@ def _by_dims(table: pa.Table, metric: str):
 
 def _cells(batch: pa.RecordBatch, docs: np.ndarray, table: pa.Table, rows: np.ndarray):
     """Which documents meet which queries: all with all, or by probed cell."""
-    if batch.num_columns < 3:
+    if "cell" not in batch.schema.names or "probes" not in table.schema.names:
         yield np.arange(len(docs)), np.arange(len(rows))
         return
-    cells = batch.column(2).to_numpy(zero_copy_only=False)[docs]
+    cells = batch.column("cell").to_numpy(zero_copy_only=False)[docs]
     probes = table.column("probes").combine_chunks().take(pa.array(rows))
     owner = np.repeat(np.arange(len(rows)), probes.value_lengths().to_numpy(zero_copy_only=False))
     probed = probes.flatten().to_numpy(zero_copy_only=False)

@@ -71,6 +71,17 @@ def _batch_range(spark, folder) -> DataFrame:
     return _rounded(found, "vector_distance")
 
 
+def _grid_knn(spark, folder) -> DataFrame:
+    found = knn(table(spark, folder, "embeddings"), field="embedding", queries=vector_queries(spark, folder), schema=EMBEDDINGS, join="grid")
+    return _rounded(found, "vector_distance")
+
+
+def _grid_range(spark, folder) -> DataFrame:
+    docs = table(spark, folder, "embeddings")
+    found = vector_range(docs, field="embedding", threshold=0.7, where=Num("label").ge(5), queries=vector_queries(spark, folder), schema=EMBEDDINGS, join="grid")
+    return _rounded(found, "vector_distance")
+
+
 def _join(method: str):
     def run(spark, folder) -> DataFrame:
         found = similarity_join(table(spark, folder, "embeddings"), field="embedding", threshold=0.6, method=method,
@@ -234,6 +245,9 @@ REPORTS: dict[str, Report] = {
     "V7_batch_knn_filtered": Report(_batch_knn_filtered, _best(3, "label >= 5", ", label")),
     "V7_batch_range": Report(
         _batch_range, f"SELECT query_id, vec_id, round(d, 6) + 0.0 AS vector_distance FROM ({_PAIRS}) WHERE d <= 0.7"),
+    "V7_grid_knn": Report(_grid_knn, _best(10)),
+    "V7_grid_range": Report(
+        _grid_range, f"SELECT query_id, vec_id, round(d, 6) + 0.0 AS vector_distance FROM ({_PAIRS}) WHERE d <= 0.7 AND label >= 5"),
     "V8_similarity_join_exact": Report(
         _join("exact"),
         f"SELECT query_id AS left_key, vec_id AS right_key, round(d, 6) + 0.0 AS distance FROM ({_PAIRS}) "

@@ -1,3 +1,8 @@
+import math
+import random
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +10,7 @@ from lakesearch.errors import QueryError
 from lakesearch.functions.predicates import Tag
 from lakesearch.operators import aggregation as agg
 from lakesearch.operators.aggregation import Aggregation
-from lakesearch.operators.quantile import exact_quantile
+from lakesearch.operators.quantile import exact_quantile, sortable_digits
 
 SALES = [
     ("1", "acme", "electronics", 1200.0, 2.0),
@@ -114,3 +119,40 @@ def test_argument_errors(sales):
     ):
         with pytest.raises(QueryError):
             bad()
+
+
+def test_digits_order_doubles_as_spark_does(spark):
+    rng = random.Random(3)
+    extremes = [5e-324, 2.0**-1074, 2.0**-1022, 2.0**-1000, 1.7976931348623157e308, 2.0**1023, float("inf"), 0.0, 1.0, 1 - 2**-53, 1 + 2**-52, 3.0, 0.1]
+    values = extremes + [-v for v in extremes] + [float("nan")] + [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randrange(-310, 309) for _ in range(500)]
+    values += [math.nextafter(v, math.inf) for v in values[:200]]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    digits = F.struct(*sortable_digits(F.col("v")))
+    out = rows.select("v", digits.alias("d")).collect()
+    same = [(tuple(r["d"]), r["v"]) for r in out]
+    key = lambda v: (math.isnan(v), v if not math.isnan(v) else 0.0)
+    assert [key(v) for _, v in sorted(same, key=lambda x: x[0])] == sorted(map(key, values))
+    assert len({d for d, _ in same}) == len({0.0 if v == 0 else v for v in values if not math.isnan(v)}) + 1
+
+
+@pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9999, 1.0])
+def test_quantile_of_one_group_of_all_distinct_values_with_infinities(spark, q):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.normal(size=30_000) * 10.0 ** rng.integers(-20, 20, 30_000), [np.inf, -np.inf, 0.0, -0.0]])
+    rows = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(8)
+    found = exact_quantile(rows, [], F.col("v"), q, "x").first()["x"]
+    assert found == sorted(values)[int(q * (len(values) - 1))] if (q * (len(values) - 1)) % 1 == 0 else np.isclose(found, np.quantile(values[np.isfinite(values)], q), rtol=0.2)
+    plan = exact_quantile(rows, [], F.col("v"), q, "x")._jdf.queryExecution().toString()
+    assert "percentile" not in plan
+
+
+def test_quantile_of_many_groups_with_nulls(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k if k else None, float(v) if v > -1 else None) for k, v in zip(rng.integers(0, 5, 4000).tolist(), rng.normal(size=4000).round(2).tolist())]
+    rows += [(9, 1.5)] * 1000 + [(10, None)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    for q in (0.1, 0.5, 0.77):
+        found = {r["k"]: r["x"] for r in exact_quantile(df, ["k"], F.col("v"), q, "x").collect()}
+        for k in {k for k, v in rows if v is not None}:
+            assert np.isclose(found[k], np.quantile([v for g, v in rows if g == k and v is not None], q))
+        assert 10 not in found

@@ -88,6 +88,29 @@ def test_queries_in_several_blocks_give_the_same_rows(spark, clustered, monkeypa
     assert len(whole) == 600
 
 
+def test_a_grid_of_many_cells_gives_the_same_rows(spark, clustered, monkeypatch):
+    docs = frame(spark, np.vstack([clustered[:200], clustered[:40]])).repartition(5)
+    rows = [(i, clustered[i % 300].tolist()) for i in range(150)] + [(900, [0.0] * 16), (901, None), (902, [1.0]), (None, clustered[3].tolist())]
+    queries = spark.createDataFrame(rows, "query_id long, vector array<double>")
+    for search in (lambda join: knn(docs, field="v", k=7, queries=queries, join=join), lambda join: vector_range(docs, field="v", threshold=0.3, queries=queries, join=join)):
+        whole = sorted(search("broadcast").collect(), key=str)
+        assert whole and {r["query_id"] for r in whole} >= {0, None}
+        for block in (vectors.QUERY_BLOCK_BYTES, 5000, 700):
+            monkeypatch.setattr(vectors, "QUERY_BLOCK_BYTES", block)
+            assert sorted(search("grid").collect(), key=str) == whole
+            monkeypatch.undo()
+
+
+def test_a_grid_reads_both_tables_once_and_no_query_on_the_driver(spark, clustered, monkeypatch):
+    docs = frame(spark, clustered[:100])
+    queries = docs.select(F.col("_key").alias("query_id"), F.col("v").alias("vector"))
+    monkeypatch.setattr(vectors, "QUERY_BLOCK_BYTES", 500)
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: pytest.fail("queries reached the driver"))
+    found = knn(docs, field="v", k=3, queries=queries)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
+    assert found.count() == 300
+
+
 def test_many_equal_vectors_fall_back_to_the_key(spark):
     x = np.vstack([np.tile([1.0, 2.0], (500, 1)), [[2.0, 1.0]]])
     docs = frame(spark, x).repartition(7)
