@@ -26,13 +26,14 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return (hashes * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40)) % np.uint64(parts)
 
 
+# Fixed by PROBES: two bits of a block for each number below 4096.
+_PAIRS = np.array([1 << (i & 63) | 1 << (i >> 6) for i in range(4096)], np.uint64)
+
+
 def placed(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """``block, mask`` of hashes in a filter of ``blocks`` blocks of 64 bits."""
+    """``block, mask`` of hashes in a filter of ``blocks`` blocks of 64 bits; a mask has ``PROBES`` bits."""
     block = (hashes >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
-    mask = np.zeros(hashes.shape, np.uint64)
-    for i in range(PROBES):
-        mask |= np.uint64(1) << (hashes >> np.uint64(6 * i) & np.uint64(63))
-    return block, mask
+    return block, _PAIRS[hashes & np.uint64(4095)] | _PAIRS[hashes >> np.uint64(12) & np.uint64(4095)]
 
 
 def held(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
