@@ -74,6 +74,14 @@ def _upsert(schema: DocumentSchema):
     return run
 
 
+def _repeated_keys(spark, folder) -> DataFrame:
+    """Every order under its customer's key in one load: the last one stays."""
+    target = scratch_collection(spark, CUSTOMER_HASH)
+    orders = table(spark, folder, "orders").withColumn("moment", F.struct("o_orderdate", "o_orderkey"))
+    load(orders.select("o_custkey", "o_orderkey", "o_orderstatus", "moment"), target, id_field="o_custkey", order="moment")
+    return target.read().select("_key", "o_orderkey", "o_orderstatus")
+
+
 def _geo_rows(spark, folder) -> DataFrame:
     lon, lat = F.col("c_custkey") / 4 - 200, F.col("c_custkey") % 200 - 100
     pair = F.concat_ws(",", lon.cast("decimal(10,2)"), lat)
@@ -210,6 +218,10 @@ REPORTS: dict[str, Report] = {
         f"SELECT 'customer:' || o_custkey AS _key, NULL AS c_custkey, NULL AS c_name, big AS c_mktsegment, NULL AS c_acctbal, "
         f"o_custkey, spent FROM ({_SPENT}) UNION ALL SELECT {_CUSTOMER}, NULL, NULL FROM customer "
         "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"),
+    "S3_repeated_keys_in_one_load": Report(
+        _repeated_keys,
+        "SELECT 'customer:' || o_custkey AS _key, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey "
+        "ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1"),
     "S4_validation": Report(
         _validation,
         f"SELECT message, count(*) AS n, sum(c_custkey)::BIGINT AS keys FROM (SELECT c_custkey, {_GEO_CASE} AS message FROM ({_GEO}) "

@@ -1,73 +1,86 @@
-"""Document collections on Parquet: keyed upsert, expiry and lookup.
-
-Rows are stored by a hash bucket of their key. A load rewrites only the buckets it
-touches, into a new version folder; a small manifest naming the current folder of
-every bucket is written last and is the commit point. A failed load leaves the
-previous version readable and can simply be repeated. One writer at a time.
+"""Document collections on Parquet: keyed appends, expiry and lookup.
+
+A load appends its rows, one for each key, as a partition of its own, named by source and
+batch; a load that is repeated overwrites that partition and nothing else (dynamic
+partition overwrite). What a key holds is worked out when it is read: every row carries
+its time of arrival, and a map-side aggregate takes the last value of every field. A row
+may begin its key anew, as whole-row replacement and a write after expiry do; what arrived before
+it no longer counts. One writer at a time for each source.
 """
 
 from __future__ import annotations
 
-import json
+import time
 from collections.abc import Iterable
-from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..errors import LakeSearchError, SchemaError
-from ..runtime import broadcast_if_small, shared_folder
+from ..runtime import broadcast_if_small, shared_folder, written
 from ..schema import DocumentSchema
-from . import files
 
 EXPIRY = "_expires_at"
-_BUCKET = "_bucket"
-_MANIFEST = "bucket int, version int, columns string, buckets int, batches map<string,bigint>"
-
-
-@dataclass(frozen=True)
-class _State:
-    """One committed version: where each bucket lives, and the stored columns."""
-
-    version: int
-    folders: dict[int, int]
-    columns: T.StructType | None
-    buckets: int
-    batches: dict[str, int]
+ARRIVED = "_arrived"
+FRESH = "_fresh"
+_PARTITION = ["_source", "_batch"]
+_KEPT = [ARRIVED, FRESH, *_PARTITION]
+LOAD = "load"
+_PUSHED_IDS = 500
 
 
 class Collection:
-    """A keyed document table below ``path``.
+    """A keyed document table below ``path``."""
 
-    ``buckets`` is fixed by the first load; choose it so that one bucket fits a task.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: DocumentSchema, buckets: int = 16):
+    def __init__(self, spark: SparkSession, path: str, schema: DocumentSchema):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
-        self._buckets = buckets
 
     # -- reading -------------------------------------------------------------
 
     def read(self, now: Column | None = None, expired: bool = False) -> DataFrame:
         """Live rows, or with ``expired`` every stored row, without bookkeeping columns."""
-        rows = self._rows(self._state())
-        return (rows if expired else live_rows(rows, now)).drop(_BUCKET, EXPIRY)
+        rows = self.raw()
+        return (rows if expired else live_rows(rows, now)).drop(EXPIRY)
 
     def raw(self) -> DataFrame:
-        """Every stored row with its expiry time."""
-        return self._rows(self._state()).drop(_BUCKET)
+        """Every key's row with its expiry time, expired or not."""
+        return last_values(self.appended(), self.schema.key)
+
+    def appended(self) -> DataFrame:
+        """All rows as they were appended, with ``_arrived``, ``_fresh``, ``_source`` and ``_batch``."""
+        rows = self._stored(None)
+        if rows is not None:
+            return rows.withColumn("_source", F.col("_source").cast("string")).withColumn("_batch", F.col("_batch").cast("long"))
+        fields = [f for f in self.schema.struct_type().fields if f.name != self.schema.key]
+        return self.spark.createDataFrame([], T.StructType([T.StructField(self.schema.key, T.StringType()), *fields, *_BOOKKEEPING]))
+
+    def _stored(self, columns: T.StructType | None) -> DataFrame | None:
+        """The appended rows, of all columns that any batch has or of the given ones, which reads no file ahead; None before the first."""
+        reader = self.spark.read.option("mergeSchema", "true") if columns is None else self.spark.read.schema(columns)
+        try:
+            return reader.option("basePath", self._data).parquet(self._data)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None
 
     def fetch_many(self, ids: Iterable[str]) -> DataFrame:
         """One row per asked id in the asked order; fields are null where nothing is stored."""
         asked = list(ids)
-        state = self._state()
         requests = request_frame(self.spark, asked, self.schema)
-        bucket = _bucket(F.col("_wanted"), state.buckets)
-        wanted = [r[0] for r in requests.select(bucket).distinct().collect()]
-        rows = live_rows(self._rows(state, wanted)).drop(_BUCKET, EXPIRY)
-        return matched_requests(requests, rows, self.schema.key)
+        key = self.schema.key
+        rows = self.appended()
+        wanted = requests.select(F.col("_wanted").cast(rows.schema[key].dataType).alias(key)).distinct()
+        if len(asked) <= _PUSHED_IDS:
+            # A few keys are pushed to the scan, where the statistics of the sorted files prune.
+            rows = rows.where(F.col(f"`{key}`").isin([r[0] for r in wanted.collect()]))
+        else:
+            rows = rows.join(broadcast_if_small(wanted), key, "left_semi")
+        rows = live_rows(last_values(rows, key)).drop(EXPIRY)
+        return matched_requests(requests, rows, key)
 
     def fetch_table(self, requests: DataFrame, id_field: str) -> DataFrame:
         """Every row of ``requests`` with the stored row of its id, and ``_found``.
@@ -89,96 +102,78 @@ class Collection:
     # -- writing -------------------------------------------------------------
 
     def upsert(
-        self, rows: DataFrame, mode: str | None = None, order: str | None = None, batch: tuple[str, int] | None = None
-    ) -> int:
-        """Write prepared rows (key, fields, expiry) and return the committed version.
+        self,
+        rows: DataFrame,
+        mode: str | None = None,
+        order: str | None = None,
+        batch: tuple[str, int] | None = None,
+        now: Column | None = None,
+    ) -> tuple[str, int]:
+        """Append prepared rows (key, fields, expiry) and return their source and batch.
 
         ``merge`` keeps stored fields the new row leaves null; ``replace`` swaps whole
         rows. ``order`` names the column that decides which of several rows with one
-        key came last. A ``batch`` already recorded for its source changes nothing.
+        key came last; without it, different rows of one key are an error. Without ``batch``
+        a load is a batch of its own. A repeated batch takes the place of its first try, also in time.
         """
         mode = mode or ("replace" if self.schema.storage == "json" else "merge")
         if mode not in ("merge", "replace"):
             raise LakeSearchError(f"mode must be merge or replace, got {mode!r}")
-        state = self._state()
-        if batch is not None and state.batches.get(batch[0], -1) >= batch[1]:
-            return state.version
         key = self.schema.key
         if EXPIRY not in rows.columns:
             rows = rows.withColumn(EXPIRY, F.lit(None).cast("timestamp"))
-        bucket = _bucket(F.col(f"`{key}`"), state.buckets)
-        if state.folders:
-            # Reads the keys only; at most one row per bucket comes back.
-            touched = [r[0] for r in rows.select(bucket).distinct().collect()]
+        stored = self._stored(T.StructType([rows.schema[key], *_BOOKKEEPING]))
+        arrived = time.time_ns()
+        source, number = batch or (LOAD, arrived)
+        if batch is not None and stored is not None:
+            first = stored.where((F.col("_source") == source) & (F.col("_batch") == number)).select(ARRIVED).first()
+            arrived = first[0] if first else arrived
+        new = last_rows(rows, key, order, mode)
+        if mode == "replace" or stored is None:
+            new = new.withColumn(FRESH, F.lit(True))
         else:
-            touched = list(range(state.buckets))
-        if not touched:
-            return state.version
-        new = last_rows(rows, key, order, mode).withColumn(_BUCKET, bucket)
-        old = live_rows(self._rows(state, touched))
-        merged = _merged(new, old, key) if mode == "merge" else _replaced(new, old, key)
-        batches = {**state.batches, batch[0]: batch[1]} if batch is not None else state.batches
-        return self._commit(state, merged, touched, batches)
-
-    def purge(self, now: Column | None = None) -> int:
-        """Rewrite the buckets that hold expired rows without them."""
-        state = self._state()
-        rows = self._rows(state)
-        gone = F.coalesce(F.col(EXPIRY) <= (now if now is not None else F.current_timestamp()), F.lit(False))
-        touched = [r[0] for r in rows.where(gone).select(_BUCKET).distinct().collect()]
-        if not touched:
-            return state.version
-        kept = live_rows(self._rows(state, touched), now)
-        return self._commit(state, kept, touched, state.batches)
-
-    # -- versions --------------------------------------------------------------
-
-    def _state(self) -> _State:
-        versions = sorted(
-            (int(name.split("=")[1]) for name in files.subfolders(self.spark, f"{self.path}/manifest") if name.startswith("_version=")),
-            reverse=True,
-        )
-        for version in versions:
-            folder = f"{self.path}/manifest/_version={version}"
-            if files.exists(self.spark, f"{folder}/_SUCCESS"):
-                rows = self.spark.read.schema(_MANIFEST).parquet(folder).collect()
-                return _State(
-                    version,
-                    {r["bucket"]: r["version"] for r in rows if r["bucket"] is not None},
-                    T.StructType.fromJson(json.loads(rows[0]["columns"])),
-                    rows[0]["buckets"],
-                    rows[0]["batches"] or {},
-                )
-        return _State(0, {}, None, self._buckets, {})
-
-    def _rows(self, state: _State, buckets: list[int] | None = None) -> DataFrame:
-        wanted = state.folders if buckets is None else {b: v for b, v in state.folders.items() if b in set(buckets)}
-        columns = state.columns
-        if columns is None:
-            columns = T.StructType([*self.schema.struct_type().fields, T.StructField(EXPIRY, T.TimestampType())])
-        full = T.StructType([*columns.fields, T.StructField(_BUCKET, T.IntegerType())])
-        if not wanted:
-            return self.spark.createDataFrame([], full)
-        folders = [f"{self.path}/data/_version={v}/{_BUCKET}={b}" for b, v in sorted(wanted.items())]
-        rows = self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*folders)
-        return rows.select(*[f"`{f.name}`" for f in full.fields])
-
-    def _commit(self, state: _State, rows: DataFrame, touched: list[int], batches: dict[str, int]) -> int:
-        version = state.version + 1
-        target = f"{self.path}/data/_version={version}"
-        rows.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(target)
-        columns = T.StructType([f for f in rows.schema.fields if f.name != _BUCKET])
-        written = {
-            int(name.split("=")[1])
-            for name in files.subfolders(self.spark, target)
-            if name.startswith(f"{_BUCKET}=")
-        }
-        folders = {b: v for b, v in state.folders.items() if b not in set(touched)} | {b: version for b in written}
-        entries = [(b, v, columns.json(), state.buckets, batches) for b, v in sorted(folders.items())]
-        entries = entries or [(None, version, columns.json(), state.buckets, batches)]
-        manifest = self.spark.createDataFrame(entries, _MANIFEST).coalesce(1)
-        manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/_version={version}")
-        return version
+            new = self._begun_anew(new, stored.where(F.col(ARRIVED) < arrived), now)
+        new = new.withColumn(ARRIVED, F.lit(arrived)).withColumn("_source", F.lit(source)).withColumn("_batch", F.lit(number))
+        self._append(new)
+        return source, number
+
+    def purge(self, now: Column | None = None) -> None:
+        """Overwrite the batches that hold rows of expired keys without these rows."""
+        key = self.schema.key
+        stored = self.appended()
+        gone = written(expired_rows(last_values(stored.select(key, EXPIRY, *_KEPT), key), now).select(key), "gone")
+        touched = written(stored.join(broadcast_if_small(gone), key, "left_semi").select(*_PARTITION).distinct(), "touched")
+        kept = stored.join(touched, _PARTITION, "left_semi").join(broadcast_if_small(gone), key, "left_anti")
+        # A batch of which nothing is left keeps a row without a key, which is never read.
+        empty = touched.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema.fields if f.name not in _PARTITION], *_PARTITION)
+        self._append(written(kept.unionByName(empty), "kept"))
+
+    @property
+    def _data(self) -> str:
+        return f"{self.path}/data"
+
+    def _append(self, rows: DataFrame) -> None:
+        rows = rows.hint("rebalance").sortWithinPartitions(*_PARTITION, self.schema.key)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTITION).parquet(self._data)
+
+    def _begun_anew(self, new: DataFrame, stored: DataFrame, now: Column | None) -> DataFrame:
+        """``new`` with ``_fresh``: whether the key had expired when the row arrived."""
+        key = self.schema.key
+        mortal = stored.where(F.col(EXPIRY).isNotNull())
+        if mortal.isEmpty():
+            return new.withColumn(FRESH, F.lit(False))
+        keys = mortal.select(key).distinct()
+        gone = expired_rows(last_values(stored.join(keys, key, "left_semi"), key), now)
+        return new.join(gone.select(key, F.lit(True).alias("_gone")), key, "left").withColumn(FRESH, F.coalesce("_gone", F.lit(False))).drop("_gone")
+
+
+_BOOKKEEPING = [
+    T.StructField(EXPIRY, T.TimestampType()),
+    T.StructField(ARRIVED, T.LongType()),
+    T.StructField(FRESH, T.BooleanType()),
+    T.StructField("_source", T.StringType()),
+    T.StructField("_batch", T.LongType()),
+]
 
 
 def live_rows(rows: DataFrame, now: Column | None = None) -> DataFrame:
@@ -187,18 +182,36 @@ def live_rows(rows: DataFrame, now: Column | None = None) -> DataFrame:
     return rows.where(F.col(EXPIRY).isNull() | (F.col(EXPIRY) > moment))
 
 
+def expired_rows(rows: DataFrame, now: Column | None = None) -> DataFrame:
+    return rows.where(F.col(EXPIRY) <= (now if now is not None else F.current_timestamp()))
+
+
+def last_values(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key: the last value of every field since the key last began anew.
+
+    ``max_by`` combines on the map side, so a key that a million batches wrote shrinks to one row per task.
+    """
+    fields = [c for c in rows.columns if c != key and c not in _KEPT]
+    value = lambda c: F.struct(F.col(ARRIVED).alias("at"), F.col(f"`{c}`").alias("value"))
+    last = [F.max_by(value(c), F.when(F.col(f"`{c}`").isNotNull(), F.col(ARRIVED))).alias(c) for c in fields]
+    begun = F.max(F.when(F.col(FRESH), F.col(ARRIVED))).alias("_begun")
+    found = rows.where(F.col(f"`{key}`").isNotNull()).groupBy(key).agg(begun, *last)
+    return found.select(key, *[F.when(F.col("_begun").isNull() | (F.col(f"`{c}`.at") >= F.col("_begun")), F.col(f"`{c}`.value")).alias(c) for c in fields])
+
+
 def last_rows(rows: DataFrame, key: str, order: str | None, mode: str) -> DataFrame:
-    """One row per key: the last row, or for ``merge`` the last value of every field.
+    """One row per key of a load: the last row, or for ``merge`` the last value of every field.
 
-    ``max_by`` combines on the map side, so a key repeated a million times shrinks to
-    one row per task before the shuffle.
+    Without ``order`` repeated keys must be repeated rows, for a table has no order of arrival.
     """
+    fields = [c for c in rows.columns if c != key]
     if order is None:
-        rows, order = rows.withColumn("_arrival", F.monotonically_increasing_id()), "_arrival"
-        drop = ["_arrival"]
-    else:
-        drop = []
-    fields = [c for c in rows.columns if c != key and c not in drop]
+        whole = F.struct(*[F.col(f"`{c}`") for c in fields])
+        plain = not any(t.startswith("map") for _, t in rows.dtypes)
+        same = F.hash(whole) if plain else F.hash(F.to_json(whole))
+        told = F.raise_error(F.concat(F.lit("Different rows have one key, and no column orders them: "), F.col(f"`{key}`").cast("string")))
+        one = rows.groupBy(key).agg(F.first(whole).alias("_last"), (F.min(same) == F.max(same)).alias("_same"))
+        return one.select(key, F.when(F.col("_same"), F.col("_last")).otherwise(told.cast(one.schema["_last"].dataType)).alias("_last")).select(key, "_last.*")
     moment = F.col(f"`{order}`")
     if mode == "replace":
         whole = F.max_by(F.struct(*[F.col(f"`{c}`") for c in fields]), moment)
@@ -231,27 +244,6 @@ def union_collections(collections: Iterable[Collection]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def scratch_collection(spark: SparkSession, schema: DocumentSchema, buckets: int = 16) -> Collection:
+def scratch_collection(spark: SparkSession, schema: DocumentSchema) -> Collection:
     """A collection in a fresh folder of the shared scratch space."""
-    return Collection(spark, shared_folder(spark, "collection"), schema, buckets)
-
-
-def _merged(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
-    columns = [*old.columns, *[c for c in new.columns if c not in old.columns]]
-    a, b = new.alias("a"), old.alias("b")
-    joined = a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer")
-    out = []
-    for c in columns:
-        sides = [F.col(f"{s}.`{c}`") for s, d in (("a", new), ("b", old)) if c in d.columns]
-        out.append(F.coalesce(*sides).alias(c))
-    return joined.select(*out)
-
-
-def _replaced(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
-    kept = old.join(new.select(key), key, "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
-
-
-def _bucket(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int").alias(_BUCKET)
-
+    return Collection(spark, shared_folder(spark, "collection"), schema)

@@ -20,9 +20,9 @@ _SAMPLE = 5
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load did: the committed version, the keys written, and the rejected rows."""
+    """What a load did: the source and number of its batch, the keys written, and the rejected rows."""
 
-    version: int
+    batch: tuple[str, int]
     keys: DataFrame
     rejected: DataFrame | None = None
 
@@ -95,5 +95,5 @@ def load(
                 raise SchemaError(f"Documents do not match schema '{schema.name}': {lines}")
         rows, rejected = valid, wrong
     rows = with_expiry(rows, ttl, now)
-    version = target.upsert(rows, mode, order, batch)
-    return LoadResult(version, rows.select(schema.key), rejected)
+    written_as = target.upsert(rows, mode, order, batch)
+    return LoadResult(written_as, rows.select(schema.key), rejected)

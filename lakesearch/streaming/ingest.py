@@ -31,10 +31,10 @@ def stream_load(
     source: str = "stream",
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Upsert every micro-batch of a stream into a collection.
+    """Append every micro-batch of a stream to a collection.
 
-    The batch number is recorded in the commit, so a batch that is replayed after a
-    failure changes nothing. Rejected rows go to one folder per batch below
+    A micro-batch writes only its own rows, under ``source`` and its number, so one that is
+    replayed after a failure overwrites its first try. Rejected rows go to one folder per batch below
     ``quarantine``; expiry counts from the time of the micro-batch.
     """
 

@@ -35,7 +35,7 @@ def stored(target, *columns):
 
 @pytest.fixture
 def target(spark, tmp_path):
-    return Collection(spark, str(tmp_path / "c"), schema_of(), buckets=4)
+    return Collection(spark, str(tmp_path / "c"), schema_of())
 
 
 def test_keys(spark):
@@ -53,12 +53,12 @@ def test_keys(spark):
 def test_merge_keeps_and_replace_drops_old_fields(spark, tmp_path):
     old = [("1", "a", 1.0, 1), ("2", "b", 2.0, 2)]
     new = [("2", None, 22.0, None), ("3", "c", None, 3)]
-    merged = Collection(spark, str(tmp_path / "h"), schema_of("hash"), 3)
-    replaced = Collection(spark, str(tmp_path / "j"), schema_of("json"), 3)
+    merged = Collection(spark, str(tmp_path / "h"), schema_of("hash"))
+    replaced = Collection(spark, str(tmp_path / "j"), schema_of("json"))
     for c in (merged, replaced):
         load(docs(spark, old), c, id_field="id")
         result = load(docs(spark, new), c, id_field="id")
-        assert result.version == 2 and sorted(r[0] for r in result.keys.collect()) == ["doc:2", "doc:3"]
+        assert result.batch[0] == "load" and sorted(r[0] for r in result.keys.collect()) == ["doc:2", "doc:3"]
     assert stored(merged, "name", "price", "extra") == [("doc:1", "a", 1.0, 1), ("doc:2", "b", 22.0, 2), ("doc:3", "c", None, 3)]
     assert stored(replaced, "name", "price", "extra") == [("doc:1", "a", 1.0, 1), ("doc:2", None, 22.0, None), ("doc:3", "c", None, 3)]
 
@@ -78,29 +78,55 @@ def test_new_columns_may_appear_later(spark, target):
     assert stored(target, "name", "color") == [("doc:1", "a", None), ("doc:2", "b", "red"), ("doc:3", "c", None)]
 
 
-def test_untouched_buckets_are_not_rewritten(spark, target):
+def files(target):
+    """The stored files of every batch."""
+    return {r[0] for r in target.appended().select(F.input_file_name()).distinct().collect()}
+
+
+def test_a_load_writes_its_own_rows_only(spark, target):
     load(docs(spark, [(str(i), "a", 1.0, 1) for i in range(40)]), target, id_field="id")
+    before = files(target)
     load(docs(spark, [("1", "b", 1.0, 1)]), target, id_field="id")
-    folders = target._state().folders
-    assert sorted(folders.values()) == [1, 1, 1, 2]
+    assert files(target) > before and target.appended().count() == 41
     assert target.read().where("name = 'b'").count() == 1 and target.read().count() == 40
 
 
-def test_a_load_that_dies_before_its_commit_changes_nothing(spark, target, monkeypatch):
-    load(docs(spark, [("1", "a", 1.0, 1)]), target, id_field="id")
-    real = Collection._commit
+def test_a_repeated_batch_overwrites_its_first_try(spark, target):
+    load(docs(spark, [("1", "a", 1.0, 1), ("2", "half", 1.0, 1)]), target, id_field="id", batch=("s", 0))
+    load(docs(spark, [("1", "later", None, 1)]), target, id_field="id", batch=("t", 0))
+    load(docs(spark, [("1", "again", 2.0, 1), ("3", "c", 1.0, 1)]), target, id_field="id", batch=("s", 0))
+    # The repeat counts as arrived with the first try, so the other source's row is still the last.
+    assert stored(target, "name", "price") == [("doc:1", "later", 2.0), ("doc:3", "c", 1.0)]
 
-    def dying(self, state, rows, touched, batches):
-        rows.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/data/_version={state.version + 1}")
-        raise RuntimeError("lost the driver")
 
-    monkeypatch.setattr(Collection, "_commit", dying)
-    with pytest.raises(RuntimeError):
-        load(docs(spark, [("1", "broken", 9.0, 9), ("2", "x", 1.0, 1)]), target, id_field="id")
+def test_repeated_keys_need_an_order(spark, target):
+    same = docs(spark, [("1", "a", 1.0, 1), ("1", "a", 1.0, 1)])
+    load(same, target, id_field="id")
     assert stored(target, "name") == [("doc:1", "a")]
-    monkeypatch.setattr(Collection, "_commit", real)
-    load(docs(spark, [("2", "b", 2.0, 2)]), target, id_field="id")
-    assert stored(target, "name") == [("doc:1", "a"), ("doc:2", "b")]
+    with pytest.raises(Exception, match="no column orders them"):
+        load(same.union(docs(spark, [("1", "b", 1.0, 1)])), target, id_field="id")
+    assert stored(target, "name") == [("doc:1", "a")]
+
+
+def test_purge_rewrites_only_batches_with_expired_keys(spark, target):
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    load(docs(spark, [("1", "a", 1.0, 1), ("2", "b", 1.0, 1)]), target, id_field="id")
+    load(docs(spark, [("3", "c", 1.0, 1)]), target, id_field="id", ttl=5, now=now)
+    load(docs(spark, [("4", "d", 1.0, 1)]), target, id_field="id", ttl=5, now=now)
+    load(docs(spark, [("4", None, 9.0, 1)]), target, id_field="id", ttl=10**6, now=now)
+    before = files(target)
+    target.purge(F.lit("2024-01-02").cast("timestamp"))
+    assert len(files(target) & before) == 3
+    assert [r["_key"] for r in target.read(F.lit("2024-01-02").cast("timestamp"), expired=True).orderBy("_key").collect()] == ["doc:1", "doc:2", "doc:4"]
+    # When the later row of this key arrived, the first had expired.
+    assert target.raw().where("_key = 'doc:4'").select("name", "price").first() == (None, 9.0)
+
+
+def test_a_later_row_lends_its_life_to_the_whole_key(spark, target):
+    load(docs(spark, [("1", "a", 1.0, 1)]), target, id_field="id", ttl=10**6)
+    load(docs(spark, [("1", None, 2.0, 1)]), target, id_field="id", ttl=10**9)
+    later = F.current_timestamp() + F.expr("INTERVAL 100 DAYS")
+    assert [(r["name"], r["price"]) for r in target.read(later).collect()] == [("a", 2.0)]
 
 
 def test_expiry(spark, target):
@@ -165,7 +191,7 @@ def test_preprocess_runs_before_validation(spark, target):
 
 
 def test_collections_of_several_prefixes(spark, tmp_path):
-    a, b = (Collection(spark, str(tmp_path / p), schema_of(prefix=p), 2) for p in ("a", "b"))
+    a, b = (Collection(spark, str(tmp_path / p), schema_of(prefix=p)) for p in ("a", "b"))
     load(docs(spark, [("1", "x", 1.0, 1)]), a, id_field="id")
     load(docs(spark, [("1", "y", 1.0, 1)]).withColumn("more", F.lit(1)), b, id_field="id")
     both = union_collections([a, b]).orderBy("_key").collect()
@@ -247,7 +273,7 @@ def test_model_vectorizer_pools_and_normalises(spark):
 def test_hashing_vectorizer_feeds_load_and_search(spark, tmp_path):
     model = HashingVectorizer(64)
     schema = DocumentSchema("d", [{"name": "t", "type": "text"}, {"name": "e", "type": "vector", "attrs": {"algorithm": "flat", "dims": 64}}])
-    target = Collection(spark, str(tmp_path / "c"), schema, 2)
+    target = Collection(spark, str(tmp_path / "c"), schema)
     rows = spark.createDataFrame([("1", "red apple pie"), ("2", "blue sky"), ("3", None)], "id string, t string")
     load(rows, target, id_field="id", preprocess=lambda d: embed(d, "t", "e", model), validate="fail")
     hits = knn(target.read(), model.embed(spark, "apple pie red"), "e", k=1, schema=schema).first()
