@@ -33,7 +33,7 @@ LETTERS = np.array([*range(0x61, 0x7B), *range(0xC0, 0x100)], np.uint8)
 
 LONGEST = 64  # words of this many characters or more share a filter
 WORDS_PER_BLOCK = 2
-CELLS = 1 << 19
+CELLS = 1 << 16
 
 
 def words(df: DataFrame, key: str | None, text: str, least_chars: int = LEAST_CHARS, damage: int = DAMAGE) -> DataFrame:
