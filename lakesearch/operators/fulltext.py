@@ -38,6 +38,7 @@ from ..functions.text import (
 )
 from ..runtime import computed_once, equi_join, ranked, with_documents, written
 from ..schema import DocumentSchema
+from .besttext import best_documents
 from .search import paged, project_fields, sorted_rows
 
 SCORERS = ("BM25STD", "BM25", "TFIDF", "TFIDF.DOCNORM", "DISMAX", "DOCSCORE")
@@ -128,10 +129,11 @@ def text_search(
         single, query_id, query_text = True, "_query", "_text"
     else:
         single = False
-    hits = batch_scores(df, queries, query_id, query_text, query, where, key, alias, doc_score, index, schema)
+    first = offset or 0
+    page = k if limit is None else limit
+    most = None if k is None else first + page
+    hits = batch_scores(df, queries, query_id, query_text, query, where, key, alias, doc_score, index, schema, most)
     if k is not None:
-        first = offset or 0
-        page = k if limit is None else limit
         hits = ranked(hits, [query_id], [F.desc(alias), F.col(key)], first + page, "_rank").where(F.col("_rank") > first).drop("_rank")
     if return_fields is None or list(return_fields):
         wide = project_fields(df, schema, return_fields)
@@ -329,8 +331,9 @@ def batch_scores(
     doc_score: str | None,
     index,
     schema: DocumentSchema | None,
+    most: int | None = None,
 ) -> DataFrame:
-    """``(query_id, key, score)`` of every match for a table of query texts."""
+    """``(query_id, key, score)`` of every match for a table of query texts; with ``most`` of the best ones at least."""
     terms = query_terms(queries, query_id, query_text, query)
     condition = filter_column(where, df, schema)
     if index is not None:
@@ -340,9 +343,6 @@ def batch_scores(
             postings = postings.join(allowed, key, "left_semi")
     else:
         postings, holders, statistics = _scan_postings(df, terms, query, condition, key, schema)
-    weights = _lookup(F.col("field"), query.fields, 1.0)
-    weighed = holders.join(terms.select(query_id, "term", "weight"), "term")
-    weighed = weighed.withColumn("weight", F.col("weight") * weights)
     score = term_score(
         query.scorer,
         F.col("tf"),
@@ -352,8 +352,13 @@ def batch_scores(
         F.lit(float(statistics.get("total", 0))),
         _lookup(F.col("field"), {f: statistics.get(f"mean:{f}") or 1.0 for f in query.fields}, 1.0),
     )
-    hits = equi_join(postings, weighed, ["field", "term"], F.col(f"`{key}`"))
-    hits = hits.withColumn("_part", score * F.col("weight"))
+    weight = _lookup(F.col("field"), query.fields, 1.0)
+    parts = equi_join(postings, holders, ["field", "term"], F.col(f"`{key}`")).select(key, "field", "term", (score * weight).alias("_part"))
+    if most is not None and query.scorer != "DOCSCORE":
+        weighed = terms.select(query_id, "term", "weight")
+        return best_documents(parts, weighed, list(query.fields), query_id, key, most, alias, query.scorer == "DISMAX")
+    hits = equi_join(parts, terms.select(query_id, "term", "weight"), ["term"], F.col(f"`{key}`"))
+    hits = hits.withColumn("_part", F.col("_part") * F.col("weight"))
     if query.scorer == "DISMAX":
         hits = hits.groupBy(query_id, key, "field").agg(F.sum("_part").alias("_part"))
         return hits.groupBy(query_id, key).agg(F.round(F.max("_part"), DECIMALS).alias(alias))

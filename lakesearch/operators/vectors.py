@@ -270,7 +270,7 @@ class _Meeting:
     def __init__(self, table: pa.Table, schema: T.StructType, metric: str, k: int | None, radius: float | None):
         self._table, self._names, self._metric, self._radius = table, schema.fieldNames(), metric, radius
         self._groups = list(_by_dims(table, metric))
-        self._best = _TopK(k, table.num_rows) if k is not None else None
+        self._best = TopK(k, table.num_rows) if k is not None else None
 
     def documents(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """The documents ``key, vector[, cell]`` within the radius; with ``k`` they are only remembered."""
@@ -304,7 +304,7 @@ class _Meeting:
         return pa.RecordBatch.from_arrays([ids, keys, pa.array(values)], names=self._names)
 
 
-class _TopK:
+class TopK:
     """The ``k`` smallest (distance, key) pairs per query, over everything added so far."""
 
     def __init__(self, k: int, queries: int):
@@ -321,12 +321,13 @@ class _TopK:
             kth = np.partition(d, self.k - 1, axis=0)[self.k - 1]
             bound = np.fmin(bound, kth)
         doc, query = np.nonzero(d <= bound + MARGIN)
-        if not len(doc):
-            return
-        self.parts.append(
-            pa.table({"query": queries[query], "d": rounded(d[doc, query]), "key": keys.take(pa.array(doc))})
-        )
-        self.size += len(doc)
+        if len(doc):
+            self.take(queries[query], d[doc, query], keys.take(pa.array(doc)))
+
+    def take(self, queries: np.ndarray, d: np.ndarray, keys: pa.Array) -> None:
+        """Add single pairs, without a look at the edges."""
+        self.parts.append(pa.table({"query": queries, "d": rounded(d), "key": keys}))
+        self.size += len(d)
         if self.size > self.limit:
             self._compact()
 
