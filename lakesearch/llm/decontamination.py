@@ -140,7 +140,8 @@ def contaminated(
     An item is contained if some substring of the plain text is within ``share`` of the
     item's length in edits; ``edits`` is the fewest, ``ends_at`` where the first such
     passage ends. Null and blank texts contain nothing; items under ``least_chars`` plain
-    characters, null ones among them, are not searched for. Equal items are each found.
+    characters, always null and blank ones, are not searched for. An item too short for an
+    edit must occur exactly, also inside a word. Equal items are each found.
     Items are broadcast in blocks of bounded expected size, one pass over ``df`` each.
     """
     size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
@@ -152,7 +153,7 @@ def contaminated(
     out = None
     for block in range(blocks):
         own = benchmark.where(F.pmod(F.xxhash64(item_text), F.lit(blocks)) == block).select(item, item_text).distinct().collect()
-        items = [(r[0], p) for r in own if len(p := plain(r[1])) >= least_chars]
+        items = [(r[0], p) for r in own if len(p := plain(r[1])) >= max(1, least_chars)]
         shared = df.sparkSession.sparkContext.broadcast(items)
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
@@ -167,13 +168,13 @@ def contaminated(
 
 
 def contaminated_documents(spark, folder: str) -> DataFrame:
-    """op2: the benchmark items that each document contains."""
+    """op2: the benchmark items that each document contains, however short they are."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return contaminated(docs, table(spark, folder, "benchmark")).drop("_doc")
+    return contaminated(docs, table(spark, folder, "benchmark"), least_chars=1).drop("_doc")
 
 
 def decontamination_stage(spark, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item of 20 characters or more; shorter ones occur in clean text."""
     found = contaminated(docs, table(spark, folder, "benchmark"))
     leaks = written(found.select("_doc").distinct(), "leaks")
     kept = docs.withColumn("_doc", identity("doc_id", "text")).join(small(leaks), "_doc", "left_anti")

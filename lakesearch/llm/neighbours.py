@@ -155,19 +155,25 @@ def neighbours(df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: s
     """``query_id, rank, key, score``: each query's ``k`` nearest rows found, nearest first, ties to the smaller key.
 
     ``queries`` has the columns of ``df``; a row is no neighbour of a query with its own
-    key. Null, zero and non-finite vectors, null keys and vectors of another length than
-    most take no part, as rows or as queries. Equal vectors are one candidate whose
+    key. Null, zero and non-finite vectors and null keys take no part, as rows or as queries. Vectors
+    of each length are searched on their own, with an index for each. Equal vectors are one candidate whose
     smallest keys are kept. With fewer than ``k`` other rows a query gets all of them.
     """
     spark = df.sparkSession
     of = lambda rows: rows.select(F.col(key).alias("id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector")))
     rows, asked = of(df), of(queries)
-    lengths = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    schema = f"query_id {df.schema[key].dataType.simpleString()}, rank int, {key} {df.schema[key].dataType.simpleString()}, score double"
-    if not lengths:
-        return spark.createDataFrame([], schema)
-    right = F.size("vector") == lengths[0]["size"]
-    rows, asked = rows.where(right), asked.where(right)
+    lengths = [r["size"] for r in asked.select(F.size("vector").alias("size")).distinct().orderBy("size").collect()]
+    kind = df.schema[key].dataType.simpleString()
+    out = spark.createDataFrame([], f"query_id {kind}, rank int, {key} {kind}, score double")
+    for i, size in enumerate(lengths):
+        found = _of_one_length(rows.where(F.size("vector") == size), asked.where(F.size("vector") == size), key, k)
+        out = found if i == 0 else out.unionByName(found)
+    return out
+
+
+def _of_one_length(rows: DataFrame, asked: DataFrame, key: str, k: int) -> DataFrame:
+    """``neighbours`` for ``id, vector`` with vectors of one length."""
+    spark = rows.sparkSession
     first = Window.partitionBy("vector").orderBy("id")
     rows = rows.distinct().withColumn("at", F.row_number().over(first)).where(F.col("at") <= k + 1)
     distinct = rows.groupBy("vector").agg(F.min("id").alias("gid"), F.sort_array(F.collect_list("id")).alias("ids"))

@@ -52,3 +52,10 @@ def test_stage_keeps_clean_documents(spark, tmp_path):
     docs = spark.createDataFrame([(1, ITEM), (2, "clean"), (3, None), (None, "clean")], "doc_id long, text string")
     kept = decontamination_stage(spark, docs, f"file://{tmp_path}").collect()
     assert sorted((tuple(r) for r in kept), key=str) == sorted([(2, "clean"), (3, None), (None, "clean")], key=str)
+
+
+def test_short_items_are_searched_exactly(spark):
+    docs = spark.createDataFrame([(1, "before. An 18 char item! after"), (2, "an 18 char itme"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "an 18 char item!"), (2, ""), (3, None), (4, " ")], "item_id long, text string")
+    found = [(r["doc_id"], r["item_id"], r["edits"]) for r in contaminated(docs, items, least_chars=1).collect()]
+    assert (1, 1, 0) in found and {i for _, i, _ in found} == {1}

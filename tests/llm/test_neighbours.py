@@ -68,3 +68,10 @@ def test_recall_and_scores_on_the_given_table(spark):
     for r in found.limit(100).collect():
         a, b = vectors[r["query_id"]], vectors[r["vec_id"]]
         assert abs(r["score"] - a @ b / np.sqrt((a @ a) * (b @ b))) < 1e-12
+
+
+def test_vectors_of_every_length_are_searched(spark):
+    rows = [(i, [float(i + 1), 1.0]) for i in range(6)] + [(10, [1.0, 0.0, 0.0]), (11, [1.0, 0.1, 0.0]), (12, [2.0] * 4), (13, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours(df, df.where("vec_id in (0, 10, 12, 13)"), k=2).collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"]) for r in found} == {(0, 1, 1), (0, 2, 2), (10, 1, 11)}
