@@ -8,9 +8,9 @@ from ..functions.predicates import Num, Tag
 from ..runtime import shared_folder
 from ..schema import DocumentSchema
 from ..sources.collection import scratch_collection
-from ..streaming.ingest import standing_match, stream_load
+from ..streaming.ingest import standing_match, standing_queries, stream_load
 from .tables import EMBEDDINGS, EVENTS, Report, table
-from .vectors import _one, first_vector
+from .vectors import _PAIRS, _one, first_vector
 
 USERS = DocumentSchema(
     "users", [{"name": "event_type", "type": "tag"}, {"name": "value", "type": "numeric"}], prefix="user", storage="json"
@@ -62,6 +62,19 @@ def _standing_vector(spark, folder) -> DataFrame:
     return drained(stream.select("vec_id", "label", F.round("vector_distance", 6).alias("vector_distance")))
 
 
+def _standing_table(spark, folder) -> DataFrame:
+    """Every twentieth embedding is a query with a threshold of its own, and wants another label, not under its own less two."""
+    own = table(spark, folder, "embeddings").where("vec_id % 20 = 0")
+    queries = own.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), (0.6 + F.col("label") / 50).alias("threshold"))
+    bounds = F.array(*[F.struct(F.lit("label").alias("field"), F.lit(op).alias("op"), F.lit(None).cast("string").alias("text"), value.cast("double").alias("number"))
+                       for op, value in (("ne", F.col("label")), ("ge", F.col("label") - 2))])
+    conditions = own.select(F.col("vec_id").alias("query_id"), F.inline(bounds))
+    target = shared_folder(spark, "matches")
+    standing_queries(stream_of(spark, folder, "embeddings"), lambda _: (queries, conditions), "embedding", target, f"{target}-state",
+                     available_now=True, schema=EMBEDDINGS).awaitTermination()
+    return spark.read.parquet(target).select("query_id", "vec_id", F.round("vector_distance", 6).alias("vector_distance"))
+
+
 _LATEST = (
     "SELECT 'user:' || user_id AS _key, event_id, event_type, value FROM (SELECT *, row_number() OVER "
     "(PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1"
@@ -73,6 +86,10 @@ REPORTS: dict[str, Report] = {
     "ST2_stream_past_expiry": Report(_past_expiry, f"{_LATEST} AND user_id % 2 = 1"),
     "ST3_standing_filter": Report(
         _standing_filter, "SELECT event_id, user_id, value FROM events WHERE event_type = 'error' AND value > 50"),
+    "ST3_query_table": Report(
+        _standing_table,
+        f"SELECT query_id, vec_id, round(d, 6) + 0.0 AS vector_distance FROM (SELECT p.*, q.label AS own FROM ({_PAIRS}) p JOIN embeddings q "
+        "ON p.query_id = q.vec_id WHERE query_id % 20 = 0) WHERE d <= 0.6 + own / 50 AND label <> own AND label >= own - 2"),
     "ST3_standing_vector": Report(
         _standing_vector,
         f"SELECT vec_id, label, round(d, 6) + 0.0 AS vector_distance FROM ({_one(where='label < 8')}) WHERE d <= 0.8"),

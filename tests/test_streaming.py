@@ -1,10 +1,13 @@
+import pytest
 from pyspark.sql import functions as F
 
+from lakesearch.errors import QueryError
+
 from lakesearch.functions.predicates import Num, Tag
 from lakesearch.schema import DocumentSchema
 from lakesearch.sources.collection import Collection
 from lakesearch.sources.load import load
-from lakesearch.streaming.ingest import standing_match, stream_load
+from lakesearch.streaming.ingest import match_queries, standing_match, standing_queries, stream_load
 
 SCHEMA = DocumentSchema("s", [{"name": "n", "type": "numeric"}, {"name": "g", "type": "geo"}], prefix="k")
 
@@ -56,3 +59,38 @@ def test_standing_match_is_the_batch_answer(spark, tmp_path):
     assert sorted(r["_key"] for r in spark.table("standing").collect()) == [5, 7, 9, 11]
     assert sorted(r["_key"] for r in standing_match(rows, **options).collect()) == [5, 7, 9, 11]
     assert standing_match(rows, Num("_key").lt(3)).count() == 3
+
+
+QUERY = "query_id int, vector array<double>, threshold double"
+CONDITION = "query_id int, field string, op string, text string, number double"
+
+
+def test_queries_are_read_anew_by_every_micro_batch(spark, tmp_path):
+    points = [[("a", "x", 1.0, [0.0, 1.0]), ("b", "y", 2.0, [0.0, 3.0])], [("c", "x", None, [0.0, 1.5]), ("d", "y", 4.0, None)]]
+    schema = "_key string, tag string, n double, v array<double>"
+    for i, rows in enumerate(points):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    queries = [(1, [0.0, 1.0], 0.6), (2, [0.0, 1.0], 5.0), (3, None, 5.0)]
+    conditions = [(1, "tag", "eq", "x", None), (2, "n", "ge", None, 2.0), (2, "tag", "ne", "x", None)]
+    calls = []
+
+    def read(session):
+        calls.append(1)
+        more = [(4, [0.0, 1.5], 0.0)] if len(calls) > 1 else []
+        return session.createDataFrame(queries + more, QUERY), session.createDataFrame(conditions, CONDITION)
+
+    query = standing_queries(stream, read, "v", f"{tmp_path}/out", f"{tmp_path}/cp", available_now=True, metric="L2")
+    query.awaitTermination()
+    found = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert {(r["query_id"], r["_key"]) for r in found} == {(1, "a"), (2, "b"), (1, "c"), (4, "c")} and len(calls) == 2
+
+
+def test_a_missing_value_meets_no_condition_and_an_unknown_field_is_an_error(spark):
+    rows = spark.createDataFrame([("a", None, [1.0, 0.0]), ("b", 1.0, [1.0, 0.0])], "_key string, n double, v array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0], 0.1)], QUERY)
+    only = lambda *c: match_queries(rows, queries, "v", spark.createDataFrame([c], CONDITION))
+    assert [r["_key"] for r in only(1, "n", "ne", None, 5.0).collect()] == ["b"]
+    assert match_queries(rows, queries, "v").count() == 2 and match_queries(rows, queries.where("false"), "v").count() == 0
+    with pytest.raises(QueryError):
+        only(1, "nope", "eq", "x", None)
