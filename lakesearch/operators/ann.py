@@ -11,7 +11,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..checks import positive_int
+from ..checks import positive_int, unit_interval
 from ..errors import QueryError
 from ..functions.distance import vector_matrix
 from ..functions.hashing import Bands
@@ -147,6 +147,35 @@ class IvfIndex:
         probed = table.where(F.col("list_id").isin(*ranked[:nprobe])).drop("list_id")
         return knn(probed, vector, **options)
 
+    def calibrate(
+        self,
+        queries: DataFrame,
+        k: int = 10,
+        recall: float = 0.95,
+        where: FilterInput = None,
+        query_id: str = "query_id",
+        query_vector: str = "vector",
+    ) -> int:
+        """The fewest lists to probe so that ``recall`` of the true ``k`` neighbours of ``queries`` are found.
+
+        The neighbours are exact, over all rows that pass ``where``, so pass a sample of the queries to come. Only
+        a count for each rank of lists reaches the driver.
+        """
+        positive_int(k, "k")
+        unit_interval(recall, "recall")
+        table, key = self.table, self._key
+        exact = knn(table.drop("list_id"), field=self._field, k=k, where=where, fields=[], metric=self._metric, schema=self._schema, queries=queries, query_id=query_id, query_vector=query_vector)
+        order = _nearest(F.col(f"`{query_vector}`"), self._spark, self._centroids, self._metric, self.nlist)
+        ranked = queries.select(query_id, order.alias("_order"))
+        found = exact.select(query_id, key).join(table.select(key, "list_id"), key).join(ranked, query_id)
+        counts = {r["rank"]: r["n"] for r in found.groupBy(F.array_position("_order", F.col("list_id")).alias("rank")).agg(F.count("*").alias("n")).collect()}
+        held, total = 0, sum(counts.values())
+        for rank in sorted(counts):
+            held += counts[rank]
+            if held >= recall * total:
+                return int(rank)
+        return self.nlist
+
     def _widened(self, ranked: list[int], step: int, k: int, where: FilterInput) -> int:
         """Lists to read until ``k`` rows pass the filter, growing geometrically."""
         nprobe = step

@@ -281,3 +281,15 @@ def test_similarity_join_keeps_copies_and_lengths(spark):
         assert own == {(1, 10), (1, 11), (5, 6)}
         two = similarity_join(table.where("_key = 1"), table.where("_key >= 10"), "v", 0.1, method)
         assert {(r["left_key"], r["right_key"], r["distance"]) for r in two.collect()} == {(1, 10, 0.0), (1, 11, 0.0)}
+
+
+def test_calibrated_lists_reach_the_recall(spark, clustered, tmp_path):
+    docs = frame(spark, clustered[:300])
+    index = IvfIndex.build(docs, "v", f"{tmp_path}/ivf", 8, dims=16)
+    queries = docs.select(F.col("_key").alias("query_id"), F.col("v").alias("vector"))
+    few, all_lists = index.calibrate(queries, 5, 0.5), index.calibrate(queries, 5, 1.0)
+    assert 1 <= few <= all_lists <= 8
+    exact = {(r["query_id"], r["_key"]) for r in knn(docs, field="v", k=5, queries=queries).collect()}
+    for nprobe, least in ((few, 0.5), (all_lists, 1.0)):
+        found = {(r["query_id"], r["_key"]) for r in index.search(queries=queries, k=5, nprobe=nprobe, fields=[]).collect()}
+        assert len(found & exact) >= least * len(exact)
