@@ -423,14 +423,14 @@ def _epoch(value: Instant, day_end: bool = False) -> float:
         try:
             moment = datetime.fromisoformat(value)
         except ValueError as error:
-            raise QueryError(f"Could not parse timestamp string: {value}") from error
+            raise QueryError(f"{value!r} is no ISO date or time") from error
         extra = _LAST_SECOND if day_end and _is_date_only(value) else 0
     elif isinstance(value, datetime):
         moment, extra = value, 0
     elif isinstance(value, date):
         moment, extra = datetime(value.year, value.month, value.day), 0
     else:
-        raise QueryError(f"Timestamp value must be a datetime, ISO string or number; got {type(value).__name__}")
+        raise QueryError(f"A point in time is a datetime, an ISO string or a number of seconds, not {type(value).__name__}")
     if moment.tzinfo is None:
         moment = moment.replace(tzinfo=timezone.utc)
     return math.floor(moment.timestamp()) + extra

@@ -43,12 +43,12 @@ def resolve_stopwords(stopwords: str | Iterable[str] | None) -> frozenset[str]:
         return frozenset()
     if isinstance(stopwords, str):
         if stopwords != "english":
-            raise QueryError(f"unknown stopwords language: {stopwords}")
+            raise QueryError(f"No stopword list for {stopwords!r}")
         return ENGLISH
     words = list(stopwords)
     for word in words:
         if not isinstance(word, str):
-            raise QueryError(f"stopwords must contain only strings; got {type(word).__name__}")
+            raise QueryError(f"A stopword must be a string, not {type(word).__name__}")
     return frozenset(words)
 
 

@@ -169,7 +169,7 @@ def _field_weights(fields: TextFields) -> dict[str, float]:
         if not name:
             raise QueryError("Field names must be non-empty")
         if not finite(weight) or weight <= 0:
-            raise QueryError(f"Weight of field '{name}' must be a finite number > 0, got {weight!r}")
+            raise QueryError(f"Field '{name}' needs a positive finite weight, not {weight!r}")
     return {name: float(weight) for name, weight in fields.items()}
 
 

@@ -65,7 +65,7 @@ class Field:
         if not self.name:
             raise SchemaError("A field needs a name")
         if self.role not in ROLES:
-            raise SchemaError(f"Unknown field type: {self.role!r}")
+            raise SchemaError(f"A field cannot have the type {self.role!r}")
         attrs = dict(self.attrs or {})
         if self.role == "tag":
             attrs.setdefault("separator", ",")
@@ -76,7 +76,7 @@ class Field:
                 raise SchemaError(f"Vector field '{self.name}' must provide dims")
             attrs["algorithm"] = str(attrs["algorithm"]).lower()
             if attrs["algorithm"] not in ALGORITHMS:
-                raise SchemaError(f"Unknown vector field algorithm: {attrs['algorithm']}")
+                raise SchemaError(f"No vector index is called {attrs['algorithm']!r}")
             attrs["metric"] = normalize_metric(attrs.pop("distance_metric", attrs.get("metric")))
             attrs["datatype"] = normalize_datatype(attrs.get("datatype"))
         object.__setattr__(self, "attrs", attrs)
@@ -148,7 +148,7 @@ class DocumentSchema:
                 raise SchemaError(f"Field '{spec['name']}' needs a type")
             spec = Field(spec["name"], role, spec.get("attrs") or {}, spec.get("path"))
         if spec.name in self.fields:
-            raise SchemaError(f"Duplicate field name: {spec.name}")
+            raise SchemaError(f"Two fields are called {spec.name!r}")
         if self.storage == "json":
             path = spec.path or (spec.name if spec.name.startswith("$.") else f"$.{spec.name}")
             spec = Field(spec.name, spec.role, spec.attrs, path)
@@ -184,7 +184,7 @@ class DocumentSchema:
         if isinstance(specs, Mapping):
             for name, spec in specs.items():
                 if spec.get("name") != name:
-                    raise SchemaError(f"Field name mismatch: key '{name}' but name {spec.get('name')!r}")
+                    raise SchemaError(f"The field under {name!r} calls itself {spec.get('name')!r}")
             specs = list(specs.values())
         specs = [
             {**spec, "attrs": {_snake(k): v for k, v in (spec.get("attrs") or {}).items()}} for spec in specs
