@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.predicates import Num, Tag, Timestamp
 from ..operators import aggregation as agg
 from ..operators.aggregation import Aggregation
+from ..operators.sketches import SketchTable
+from ..runtime import shared_folder
 from ..schema import DocumentSchema
 from .tables import DOCUMENTS, EVENTS, ORDERS, Report, table
 from .texts import scored_sql
@@ -91,6 +93,21 @@ def _sketch_rank(spark, folder) -> DataFrame:
     return found.apply("sketch BETWEEN low AND high", "close").to_df().select("l_returnflag", "close")
 
 
+def _stored_sketches(spark, folder) -> DataFrame:
+    """Users and values of a range of days from stored sketches, beside the exact answers: within a few of their errors."""
+    events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    stored = SketchTable(spark, shared_folder(spark, "sketches"), "day", ["event_type"], ["user_id"], ["value"])
+    stored.add(events.where("day < DATE'2024-01-20'"))
+    stored.add(events.where("day >= DATE'2024-01-20'"))
+    span = F.col("day").between("2024-01-05", "2024-01-24")
+    found = stored.summary(["event_type"], span, 0.9)
+    rows = events.where(span)
+    exact = rows.groupBy("event_type").agg(F.countDistinct("user_id").alias("users"))
+    ranks = rows.join(F.broadcast(found.select("event_type", "quantile_value")), "event_type").groupBy("event_type").agg(F.avg((F.col("value") <= F.col("quantile_value")).cast("int")).alias("rank"))
+    close = found.join(exact, "event_type").join(ranks, "event_type")
+    return close.select("event_type", F.col("rows").alias("n"), "users", (F.abs(F.col("distinct_user_id") - F.col("users")) <= 0.06 * F.col("users") + 1).alias("users_close"), (F.abs(F.col("rank") - 0.9) <= 0.03).alias("rank_close"))
+
+
 def _scores(spark, folder) -> DataFrame:
     docs = Aggregation(table(spark, folder, "documents"), Num("n_chars").gt(100), DOCUMENTS)
     docs = docs.add_scores("restin heed dans", "text").verbatim()
@@ -143,6 +160,10 @@ REPORTS: dict[str, Report] = {
     "A10_avg": Report(_events(agg.avg("value", "mean")), "SELECT event_type, round(avg(value), 4) AS mean FROM events GROUP BY 1"),
     "A11_stddev": Report(
         _events(agg.stddev("value", "spread")), "SELECT event_type, round(stddev_samp(value), 4) AS spread FROM events GROUP BY 1"),
+    "A12_stored_sketches": Report(
+        _stored_sketches,
+        "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS users_close, true AS rank_close FROM events "
+        "WHERE ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-24' GROUP BY 1"),
     "A12_quantile_exact": Report(
         _lines(agg.quantile("l_extendedprice", 0.9, "q90", exact=True), agg.count("n"), by=("l_returnflag",)),
         "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.9), 4) AS q90, count(*) AS n FROM lineitem GROUP BY 1"),

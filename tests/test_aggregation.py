@@ -10,6 +10,7 @@ from lakesearch.errors import QueryError
 from lakesearch.functions.predicates import Tag
 from lakesearch.operators import aggregation as agg
 from lakesearch.operators.aggregation import Aggregation
+from lakesearch.operators.sketches import SketchTable
 from lakesearch.operators.quantile import exact_quantile, sortable_digits
 
 SALES = [
@@ -156,3 +157,26 @@ def test_quantile_of_many_groups_with_nulls(spark):
         for k in {k for k, v in rows if v is not None}:
             assert np.isclose(found[k], np.quantile([v for g, v in rows if g == k and v is not None], q))
         assert 10 not in found
+
+
+def test_stored_sketches_merge_replace_days_and_err_little(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(f"2024-01-0{d}", "a" if i % 3 else None, int(u) if u % 11 else None, float(v)) for d in range(1, 6) for i, (u, v) in enumerate(zip(rng.integers(0, 3000, 2000), rng.normal(size=2000), strict=True))]
+    df = spark.createDataFrame(rows, "day string, g string, u long, v double").withColumn("day", F.to_date("day"))
+    stored = SketchTable(spark, f"{tmp_path}/s", "day", ["g"], ["u"], ["v"])
+    with pytest.raises(QueryError):
+        stored.summary()
+    stored.add(df.where("day = '2024-01-01'").limit(10))
+    for day in range(1, 6):
+        stored.add(df.where(f"day = '2024-01-0{day}'"))  # the first day replaces its half-loaded state
+    direct = SketchTable(spark, f"{tmp_path}/d", "day", ["g"], ["u"], ["v"])
+    direct.add(df)
+    span = F.col("day") > "2024-01-02"
+    for group in (["g"], []):
+        for table in (stored, direct):
+            got = {r["g"] if group else 0: r for r in table.summary(group, span, 0.25).collect()}
+            for g in ("a", None) if group else (0,):
+                mine = [r for r in rows if r[0] > "2024-01-02" and (not group or r[1] == g)]
+                users, values = {r[2] for r in mine if r[2] is not None}, np.array([r[3] for r in mine])
+                assert got[g]["rows"] == len(mine) and abs(got[g]["distinct_u"] - len(users)) <= 0.06 * len(users)
+                assert abs((values <= got[g]["quantile_v"]).mean() - 0.25) <= 0.02
