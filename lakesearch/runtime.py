@@ -37,6 +37,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and that nothing reads any more."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            context = table.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Estimated in-memory bytes of one row of ``df``."""
     parts = []
