@@ -113,9 +113,10 @@ def mixed_documents(spark, folder: str) -> DataFrame:
 
 
 def mixing_stage(spark, docs: DataFrame, folder: str) -> DataFrame:
-    """The mix itself: each document as many times as it is taken, numbered by ``copy`` from 1."""
+    """The mix itself: each document as many times as it is taken, numbered by ``copy`` from 1, which replaces a column of that name."""
     taken = mixed(docs).where("copies > 0")
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "copy"]
+    return taken.select(*kept, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
 
 
 MIX_SQL = f"""

@@ -45,6 +45,13 @@ def test_stage_repeats_documents(spark):
     assert {r["doc_id"]: r["count"] for r in found.groupBy("doc_id").count().collect()} == {k: n for k, n in taken.items() if n}
 
 
+def test_stage_replaces_a_copy_column(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "w " * 5, "a", "x") for i in range(9)], f"{SCHEMA}, Copy string")
+    mixing_stage(spark, docs, "").write.parquet(f"{tmp_path}/mix")
+    found = spark.read.parquet(f"{tmp_path}/mix")
+    assert found.columns == ["doc_id", "text", "source", "copy"] and {r["copy"] for r in found.collect()} <= {1, 2, 3}
+
+
 def test_no_python_in_the_plan(spark):
     plan = mixed(spark.createDataFrame([(1, "a", "s")], SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
