@@ -337,7 +337,7 @@ def batch_scores(
     terms = query_terms(queries, query_id, query_text, query)
     condition = filter_column(where, df, schema)
     if index is not None:
-        postings, holders, statistics = index.lookup(terms.select("term", "words").distinct(), list(query.fields))
+        postings, holders, statistics = index.lookup(terms.select("term", "words").distinct(), list(query.fields), query.stem, query.sound)
         if condition is not None:
             allowed = df.where(condition).select(key)
             postings = postings.join(allowed, key, "left_semi")

@@ -60,6 +60,34 @@ def _batch(indexed: bool = False, **options):
     return run
 
 
+def _batch_after(change):
+    """Every benchmark passage searched in an index that ``change(index, docs)`` brings up to all documents."""
+
+    def run(spark, folder) -> DataFrame:
+        docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+        index = change(docs, shared_folder(spark, "text-index"))
+        return _rounded(text_search(docs, None, "text", queries=benchmark_queries(spark, folder), return_fields=[], index=index, schema=DOCUMENTS))
+
+    return run
+
+
+def _appended(docs: DataFrame, path: str) -> TextIndex:
+    """One language first, all others as a second segment."""
+    index = TextIndex.build(docs.where("lang = 'en'"), ["text"], path, DOCUMENTS)
+    index.append(docs.where("lang is null or lang != 'en'"), DOCUMENTS)
+    return index
+
+
+def _updated(docs: DataFrame, path: str) -> TextIndex:
+    """All documents, English ones with a foreign text at first, and one too many; then the right ones."""
+    old = F.when(F.col("lang") == "en", F.concat_ws(" ", F.reverse("text"), F.lit("the rest heeds"))).otherwise(F.col("text"))
+    extra = docs.agg((F.max("doc_id") + 1).alias("doc_id"), F.first("text").alias("text"), F.lit("en").alias("lang"))
+    index = TextIndex.build(docs.withColumn("text", old).unionByName(extra), ["text"], path, DOCUMENTS)
+    index.append(docs.where("lang = 'en'"), DOCUMENTS)
+    index.remove(extra)
+    return index
+
+
 def _document_tokens(spark, folder) -> DataFrame:
     docs = table(spark, folder, "documents")
     postings = docs.select("doc_id", F.inline(term_positions(tokens(F.col("text")))))
@@ -207,6 +235,8 @@ REPORTS: dict[str, Report] = {
     "X4_batch_match": Report(_batch(), _ranked()),
     "X4_batch_match_filtered": Report(
         _batch(where=Tag("lang").eq("en"), k=3), _ranked("lang = 'en'", 3)),
+    "X4_index_after_append": Report(_batch_after(_appended), _ranked()),
+    "X4_index_after_update": Report(_batch_after(_updated), _ranked()),
     "X4_indexed_batch_match": Report(_batch(indexed=True), _ranked()),
     "X5_bm25": Report(_search(scorer="BM25"), _top(scorer="BM25")),
     "X6_tfidf": Report(_search(scorer="TFIDF"), _top(scorer="TFIDF")),

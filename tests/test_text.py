@@ -200,3 +200,60 @@ def test_schema_fields_by_alias(spark):
     rows = spark.createDataFrame([("1", "hello world")], "_key string, body string")
     schema = DocumentSchema("s", [{"name": "body", "type": "text"}])
     assert text_search(rows, "world", "body", schema=schema).count() == 1
+
+
+def _same(index, corpus, text="quick wi-fi dog", **options):
+    """The index and the scan find the same with the same scores."""
+    queries = corpus.sparkSession.createDataFrame([(1, text)], "query_id int, text string")
+    for scorer in ("BM25STD", "TFIDF"):
+        both = [
+            {r["_key"]: round(r["score"], 6) for r in text_search(corpus, queries=queries, fields={"body": 1.0, "title": 2.0}, scorer=scorer, k=None, return_fields=[], **more).collect()}
+            for more in ({**options, "index": index}, options)
+        ]
+        assert both[0] == both[1], scorer
+    return set(both[0])
+
+
+def test_index_after_appends_updates_and_removals(spark, corpus, tmp_path):
+    first, second = corpus.where("_key in ('a', 'b')"), corpus.where("_key not in ('a', 'b')")
+    index = TextIndex.build(first, ["body", "title"], str(tmp_path / "index"), buckets=2)
+    index.append(second)
+    changed = corpus.where("_key = 'a'").withColumn("body", F.lit("a slow wi-fi cat"))
+    empty = corpus.where("_key = 'd'").withColumn("body", F.lit(None).cast("string")).withColumn("title", F.lit(""))
+    index.append(changed.union(empty))
+    now = corpus.where("_key not in ('a', 'd')").union(changed).union(empty)
+    assert _same(index, now, "wi-fi cat slow dog")
+    index.append(corpus.where("_key = 'a'"))  # the old text returns
+    again = now.where("_key != 'a'").union(corpus.where("_key = 'a'"))
+    assert "a" in _same(index, again)
+    index.remove(spark.createDataFrame([("a",), ("never",)], "_key string"))
+    left = again.where("_key != 'a'")
+    _same(TextIndex.open(spark, str(tmp_path / "index")), left)
+    index.append(corpus.where("_key = 'a'"))
+    index.append(corpus.limit(0))
+    assert "a" in _same(index, again)
+
+
+def test_index_segment_written_again(spark, corpus, tmp_path):
+    index = TextIndex.build(corpus.where("_key = 'a'"), ["body", "title"], str(tmp_path / "index"), buckets=4)
+    late = corpus.where("_key != 'a'")
+    assert index.append(late) == 1 and index.append(late, segment=1) == 1
+    # A segment without statistics does not count yet, and the next one takes its place.
+    late.select(F.col("_key"), F.lit("body").alias("field"), F.lit(1).alias("length"), F.lit(1).alias("peak"), F.lit("dog").alias("term"), F.lit(1).alias("tf"), F.array(F.lit(0)).alias("positions"), F.lit(3).alias("_bucket")).write.partitionBy("_bucket").parquet(str(tmp_path / "index/postings/_segment=2"))
+    _same(index, corpus)
+    assert index.append(corpus.limit(0)) == 2
+    _same(index, corpus)
+    with pytest.raises(QueryError):
+        index.append(late, segment=9)
+
+
+def test_index_of_an_empty_table_and_foreign_settings(spark, corpus, tmp_path):
+    index = TextIndex.build(corpus.limit(0), ["body", "title"], str(tmp_path / "index"), stem=True, buckets=2)
+    queries = spark.createDataFrame([(1, "jumping")], "query_id int, text string")
+    assert text_search(corpus.limit(0), queries=queries, index=index, fields="body", stem=True, return_fields=[]).count() == 0
+    index.append(corpus)
+    scan, found = ({r["_key"] for r in text_search(corpus, queries=queries, index=i, fields="body", stem=True, return_fields=[]).collect()} for i in (None, index))
+    assert scan == found == {"a"}
+    for options in (dict(fields="body"), dict(fields="body", stem=True, sound=True), dict(fields="_key", stem=True)):
+        with pytest.raises(QueryError):
+            text_search(corpus, queries=queries, index=index, return_fields=[], **options).collect()
