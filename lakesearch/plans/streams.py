@@ -18,8 +18,10 @@ USERS = DocumentSchema(
 
 
 def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table as a stream, whether it is one file or a folder of them."""
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    # A stream takes a single file only by a pattern, and then the folder that partition columns are read below.
+    return spark.readStream.schema(schema).option("basePath", folder).parquet(f"{folder}/{name}.parque[t]")
 
 
 def drained(stream: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from lakesearch.errors import QueryError
 
 from lakesearch.functions.predicates import Num, Tag
+from lakesearch.plans.streams import drained, stream_of
 from lakesearch.schema import DocumentSchema
 from lakesearch.sources.collection import Collection
 from lakesearch.sources.load import load
@@ -94,3 +95,14 @@ def test_a_missing_value_meets_no_condition_and_an_unknown_field_is_an_error(spa
     assert match_queries(rows, queries, "v").count() == 2 and match_queries(rows, queries.where("false"), "v").count() == 0
     with pytest.raises(QueryError):
         only(1, "nope", "eq", "x", None)
+
+
+def test_a_table_is_streamed_whole_as_a_file_a_folder_and_by_partition(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "x" if i % 2 else "y") for i in range(20)], "n int, t string")
+    rows.repartition(3).write.parquet(f"{tmp_path}/parts/given.parquet")
+    rows.write.partitionBy("t").parquet(f"{tmp_path}/by/given.parquet")
+    (tmp_path / "one").mkdir()
+    rows.toPandas().to_parquet(f"{tmp_path}/one/given.parquet", index=False)
+    for kind in ("parts", "by", "one"):
+        found = drained(stream_of(spark, f"{tmp_path}/{kind}", "given"))
+        assert sorted((r["n"], r["t"]) for r in found.collect()) == sorted(tuple(r) for r in rows.collect()), kind
