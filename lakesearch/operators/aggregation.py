@@ -277,15 +277,23 @@ def _reduce_groups(df: DataFrame, names: list[str], reducers: list[Reducer], key
     for ref, name in zip(names, keys):
         if name not in df.columns or ref.startswith("$."):
             df = df.withColumn(name, field_column(df, ref))
+    # Beside an exact distinct count rows are grouped by value first. A sketch then counts the values
+    # that are left, which gives the same, instead of being kept for each of them.
+    values: dict[str, str] = {}
+    if {"count_distinct", "count_distinctish"} <= {r.kind for r in reducers}:
+        for r in reducers:
+            if r.kind in ("count_distinct", "count_distinctish") and r.field not in values:
+                values[r.field] = f"_value{len(values)}"
+        df = df.select("*", *[field_column(df, f).alias(c) for f, c in values.items()])
     if not keys:
         simple = [r for r in reducers if not _needs_own_pass(r)]
         if len(simple) == len(reducers):
-            return df.agg(*[_plain(df, r, key).alias(r.name) for r in reducers])
+            return df.agg(*[_plain(df, r, key, values).alias(r.name) for r in reducers])
         return _reduce_groups(df.withColumn("_all", F.lit(1)), ["_all"], reducers, key).drop("_all")
     quoted = [F.col(f"`{c}`") for c in keys]
     simple = [r for r in reducers if not _needs_own_pass(r)]
     grouped = df.groupBy(*quoted)
-    parts = [grouped.agg(*[_plain(df, r, key).alias(r.name) for r in simple or [count("_rows")]])]
+    parts = [grouped.agg(*[_plain(df, r, key, values).alias(r.name) for r in simple or [count("_rows")]])]
     # A null group is a group too, but equi-joins drop null keys, so those passes carry a marked key.
     for r in reducers:
         if r in simple:
@@ -317,9 +325,13 @@ def _needs_own_pass(r: Reducer) -> bool:
     return r.kind == "random_sample" or (r.kind == "quantile" and r.exact)
 
 
-def _plain(df: DataFrame, r: Reducer, key: str) -> Column:
+def _plain(df: DataFrame, r: Reducer, key: str, values: dict[str, str]) -> Column:
     if r.kind == "count":
         return F.count(F.lit(1))
+    if r.field in values and r.kind == "count_distinct":
+        return F.count_distinct(values[r.field])
+    if r.field in values and r.kind == "count_distinctish":
+        return F.expr(f"approx_count_distinct(DISTINCT {values[r.field]}, {float(r.argument)}D)")
     value = field_column(df, r.field)
     if r.kind == "count_distinct":
         return F.count_distinct(value)

@@ -180,3 +180,15 @@ def test_stored_sketches_merge_replace_days_and_err_little(spark, tmp_path):
                 users, values = {r[2] for r in mine if r[2] is not None}, np.array([r[3] for r in mine])
                 assert got[g]["rows"] == len(mine) and abs(got[g]["distinct_u"] - len(users)) <= 0.06 * len(users)
                 assert abs((values <= got[g]["quantile_v"]).mean() - 0.25) <= 0.02
+
+
+def test_a_sketch_beside_an_exact_count_is_not_kept_for_each_value(spark):
+    rows = spark.createDataFrame([(i % 3, i % 40 if i % 7 else None, i) for i in range(600)], "g int, v int, n int")
+    both = [agg.count_distinct("v", "exact"), agg.count_distinctish("v", "sketch"), agg.count_distinctish("n", "other"), agg.sum_("n", "total")]
+    found = Aggregation(rows).group_by("g", both).to_df()
+    alone = Aggregation(rows).group_by("g", both[1:]).to_df()
+    assert sorted(found.drop("exact").collect()) == sorted(alone.collect())
+    assert {r["exact"] for r in found.collect()} == {40}
+    plan = Aggregation(rows).group_by("g", both[:2]).to_df()._jdf.queryExecution().executedPlan().toString()
+    assert "partial_approx_count_distinct(distinct" in plan
+    assert Aggregation(rows).group_by([], both).to_df().first()["sketch"] == alone.first()["sketch"]
