@@ -64,9 +64,9 @@ def raw_distances(x: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
         if metric == "COSINE":
             norms = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None] * np.sqrt(np.einsum("ij,ij->i", q, q))[None, :]
             with np.errstate(divide="ignore", invalid="ignore"):
-                out = out / norms
+                np.divide(out, norms, out=out)
             out[norms == 0] = np.nan
-        out = 1.0 - out
+        np.subtract(1.0, out, out=out)
     return out
 
 

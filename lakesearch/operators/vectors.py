@@ -29,8 +29,10 @@ JOINS = ("auto", "broadcast", "grid")
 DEFAULT_ALIAS = "vector_distance"
 
 # Bytes of query vectors that are broadcast or held by one cell of a grid, and distances computed at a time.
-QUERY_BLOCK_BYTES = 32 * 1024 * 1024
-CELLS = 4_000_000
+QUERY_BLOCK_BYTES = 16 * 1024 * 1024
+CELLS = 1_000_000
+# Cells of a grid at least, for each core.
+CELLS_PER_CORE = 2
 
 
 def knn(
@@ -209,11 +211,13 @@ def vector_bytes(df: DataFrame) -> int:
 def _grid(docs: DataFrame, queries: DataFrame, columns: int) -> DataFrame:
     """Both tables in one: ``cell number, is document, ...``, each cell's queries before its documents.
 
-    A query goes to every row of its column, a document to every column of its row. There are as many
-    rows as keep all tasks busy, so what is copied follows from the number of tasks and the size of the
-    queries. Documents only stream past, so a cell of any height fits its task.
+    A query goes to every row of its column, a document to every column of its row. A row more means
+    another copy of the queries and of their best rows, so there are no more than keep all cores busy.
+    Documents only stream past, so a cell of any height fits its task.
     """
-    rows = max(1, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // columns))
+    spark = docs.sparkSession
+    cells = min(int(spark.conf.get("spark.sql.shuffle.partitions")), CELLS_PER_CORE * spark.sparkContext.defaultParallelism)
+    rows = max(1, -(-cells // columns))
     dealt = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     asked = queries.withColumn("_column", dealt(queries, columns)).withColumn("_row", each(rows))

@@ -293,3 +293,20 @@ def test_calibrated_lists_reach_the_recall(spark, clustered, tmp_path):
     for nprobe, least in ((few, 0.5), (all_lists, 1.0)):
         found = {(r["query_id"], r["_key"]) for r in index.search(queries=queries, k=5, nprobe=nprobe, fields=[]).collect()}
         assert len(found & exact) >= least * len(exact)
+
+
+def test_a_grid_has_no_more_rows_than_keep_the_cores_busy(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(60)], "_key long, v array<float>")
+    queries = docs.select(F.col("_key").alias("query_id"), F.col("v").alias("vector"))
+    options = dict(field="v", k=4, queries=queries)
+    expected = sorted(tuple(r) for r in knn(docs, join="broadcast", **options).collect())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        cells = vectors.CELLS_PER_CORE * spark.sparkContext.defaultParallelism
+        pieces = vectors._grid(docs.select(F.col("_key").alias("key"), F.col("v").alias("vector")), queries.withColumnRenamed("query_id", "id"), 2)
+        copies = pieces.where("not document").count() / 60
+        assert copies == -(-cells // 2) and pieces.where("document").count() == 2 * 60
+        assert sorted(tuple(r) for r in knn(docs, join="grid", **options).collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
