@@ -14,6 +14,8 @@ from ..errors import QueryError
 from .distance import vector_matrix
 
 _BAND_BITS = 10
+# Projections held at a time.
+_PROJECTIONS = 500_000
 
 
 @dataclass(frozen=True)
@@ -58,17 +60,21 @@ class Bands:
         """One int64 per row and band."""
         draw = np.random.default_rng(self.seed)
         planes = draw.standard_normal((x.shape[1], self.bands * self.bits))
-        values = x @ planes
+        shift = None
         if self.metric == "COSINE":
-            digits = (values >= 0).astype(np.int64)
             base = np.int64(1) << np.arange(self.bits, dtype=np.int64)
         else:
             shift = draw.uniform(0, self.width, self.bands * self.bits)
-            digits = np.floor((values + shift) / self.width).astype(np.int64)
             base = draw.integers(1, 2**31, self.bits, dtype=np.int64)
-        cells = digits.reshape(len(x), self.bands, self.bits)
-        with np.errstate(over="ignore"):
-            return ((cells * base).sum(axis=2) << _BAND_BITS) | np.arange(self.bands)
+        out = np.empty((len(x), self.bands), dtype=np.int64)
+        step = max(1, _PROJECTIONS // planes.shape[1])
+        for at in range(0, len(x), step):
+            values = x[at : at + step] @ planes
+            digits = (values >= 0 if shift is None else np.floor((values + shift) / self.width)).astype(np.int64)
+            cells = digits.reshape(len(values), self.bands, self.bits)
+            with np.errstate(over="ignore"):
+                out[at : at + step] = (cells @ base << _BAND_BITS) | np.arange(self.bands)
+        return out
 
     def column(self, vector: Column, dims: int) -> Column:
         """``array<bigint>`` of band hashes; null for unusable vectors."""

@@ -310,3 +310,15 @@ def test_a_grid_has_no_more_rows_than_keep_the_cores_busy(spark, monkeypatch):
         assert sorted(tuple(r) for r in knn(docs, join="grid", **options).collect()) == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hashes_of_many_rows_are_those_of_each_alone(monkeypatch):
+    from lakesearch.functions import hashing
+
+    x = np.random.default_rng(3).standard_normal((50, 8))
+    for bands in (hashing.Bands(5, 6), hashing.Bands(5, 6, "L2", 0.5)):
+        whole = bands.hashes(x)
+        monkeypatch.setattr(hashing, "_PROJECTIONS", 100)
+        assert (bands.hashes(x) == whole).all() and whole.shape == (50, 5)
+        assert (bands.hashes(x[:0])).shape == (0, 5)
+        monkeypatch.undo()
