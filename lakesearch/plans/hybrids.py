@@ -27,7 +27,8 @@ def _hybrid(**options):
     def run(spark, folder) -> DataFrame:
         given = dict(options)
         if given.pop("ivf", False):
-            index = IvfIndex.build(mixed(spark, folder), "embedding", shared_folder(spark, "ivf"), 16, schema=MIXED)
+            # Documents are fetched by key for what is found, so the index need not hold their texts.
+            index = IvfIndex.build(mixed(spark, folder).drop("text"), "embedding", shared_folder(spark, "ivf"), 16, schema=MIXED)
             given["method"] = Knn(10, index, 16)
         found = hybrid_search(mixed(spark, folder), _TEXT, given.pop("text_field", "text"), first_vector(spark, folder),
                               "embedding", schema=MIXED, **{"return_fields": ["lang"], **given})
