@@ -218,8 +218,17 @@ def analysed(text: Column, stem: bool = False, sound: bool = False) -> Column:
 
 def max_frequency(words: Column) -> Column:
     """How often the most frequent token of a token array occurs; 0 for none."""
-    return F.coalesce(F.array_max(F.transform(term_positions(words), lambda t: t["tf"])), F.lit(0))
+    none = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0).alias("most"))
 
+    def counted(state: Column, word: Column) -> Column:
+        run = F.when(word == state["word"], state["run"] + 1).otherwise(F.lit(1))
+        return F.struct(word.alias("word"), run.alias("run"), F.greatest(state["most"], run).alias("most"))
+
+    return F.coalesce(F.aggregate(F.array_sort(words), none, counted, lambda state: state["most"]), F.lit(0))
+
+
+# Tokens that are numbered and sorted at a time.
+_TOKENS = 300_000
 
 _POSTING = T.StructType(
     [
@@ -234,10 +243,29 @@ _POSTING = T.StructType(
 def term_positions(words: pa.Array) -> pa.Array:
     """The distinct terms of a token array with their counts and positions.
 
-    A document is one row, so its postings need no shuffle: the tokens of a whole
-    batch are numbered once and sorted by row and number.
+    A document is one row, so its postings need no shuffle: the tokens of some rows of
+    a batch at a time are numbered once and sorted by row and number.
     """
     lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lengths)
+    terms, counts, positions, per_row = [pa.array([], pa.string())], [], [], []
+    at = 0
+    while at < len(lengths):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + _TOKENS, side="right")))
+        some = _sorted_terms(words.slice(at, to - at), lengths[at:to])
+        for whole, part in zip((terms, counts, positions, per_row), some, strict=True):
+            whole.append(part)
+        at = to
+    tf, place, held = (np.concatenate([np.zeros(0, np.int32), *parts]) for parts in (counts, positions, per_row))
+    starts = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    places = pa.ListArray.from_arrays(starts(tf), pa.array(place))
+    entries = pa.StructArray.from_arrays([pa.concat_arrays(terms), pa.array(tf), places], names=["term", "tf", "positions"])
+    return pa.ListArray.from_arrays(starts(held), entries)
+
+
+def _sorted_terms(words: pa.Array, lengths: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Terms and their counts by row, the positions in the order of these, and the number of terms of each row."""
     offsets = np.concatenate([[0], np.cumsum(lengths)])
     flat = words.flatten().dictionary_encode()
     if isinstance(flat, pa.ChunkedArray):
@@ -248,13 +276,7 @@ def term_positions(words: pa.Array) -> pa.Array:
     group = row * max(1, len(flat.dictionary)) + codes
     order = np.argsort(group, kind="stable")
     first = np.flatnonzero(np.diff(group[order], prepend=-1))
-    ends = np.append(first[1:], len(order))
+    tf = np.diff(first, append=len(order)).astype(np.int32)
     terms = flat.dictionary.take(pa.array(codes[order][first]))
-    places = pa.ListArray.from_arrays(
-        pa.array(np.append(first, len(order)), pa.int32()), pa.array(position[order], pa.int32())
-    )
-    entries = pa.StructArray.from_arrays(
-        [terms, pa.array(ends - first, pa.int32()), places], names=["term", "tf", "positions"]
-    )
-    per_row = np.searchsorted(row[order][first], np.arange(len(lengths) + 1))
-    return pa.ListArray.from_arrays(pa.array(per_row, pa.int32()), entries)
+    held = np.bincount(row[order][first], minlength=len(lengths)).astype(np.int32)
+    return terms, tf, position[order].astype(np.int32), held

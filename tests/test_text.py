@@ -257,3 +257,31 @@ def test_index_of_an_empty_table_and_foreign_settings(spark, corpus, tmp_path):
     for options in (dict(fields="body"), dict(fields="body", stem=True, sound=True), dict(fields="_key", stem=True)):
         with pytest.raises(QueryError):
             text_search(corpus, queries=queries, index=index, return_fields=[], **options).collect()
+
+
+def test_positions_of_many_rows_are_those_of_each_alone(spark, monkeypatch):
+    import pyarrow as pa
+
+    from lakesearch.functions import text
+
+    rows = [["b", "a", "b"], [], None, ["c"], ["a"] * 5, ["b", "c", "b", "c"]]
+    whole = text.term_positions.func(pa.array(rows, pa.list_(pa.string()))).to_pylist()
+    monkeypatch.setattr(text, "_TOKENS", 4)
+    seen = []
+    sort = text._sorted_terms
+    monkeypatch.setattr(text, "_sorted_terms", lambda words, lengths: seen.append(int(lengths.sum())) or sort(words, lengths))
+    parts = text.term_positions.func(pa.array(rows, pa.list_(pa.string()))).to_pylist()
+    as_dicts = lambda found: [{e["term"]: (e["tf"], e["positions"]) for e in r} for r in found]
+    assert as_dicts(parts) == as_dicts(whole)
+    assert as_dicts(parts)[0] == {"b": (2, [0, 2]), "a": (1, [1])} and parts[1] == parts[2] == []
+    assert max(seen) <= 5 and len(seen) > 2
+    empty = text.term_positions.func(pa.array([], pa.list_(pa.string())))
+    assert len(empty) == 0
+
+
+def test_the_greatest_frequency_needs_no_python(spark):
+    rows = spark.createDataFrame([(["b", "a", "b"],), ([],), (None,), (["c", "a", "c", "a", "a"],)], "w array<string>")
+    found = rows.select(max_frequency(F.col("w")).alias("m"))
+    assert [r["m"] for r in found.collect()] == [2, 0, 0, 3]
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEval" not in found._jdf.queryExecution().executedPlan().toString()
