@@ -67,3 +67,21 @@ def test_argument_errors(products):
                  lambda: Rrf(0), lambda: Rrf(60, 0), lambda: Linear(window=0)):
         with pytest.raises(QueryError):
             make()
+
+
+def test_the_index_of_a_hybrid_report_holds_no_texts(spark, tmp_path, monkeypatch):
+    from lakesearch.plans import hybrids
+
+    spark.createDataFrame([(1, "some text", "en")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, [1.0] * 64, 2)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+
+    class Built(Exception):
+        pass
+
+    def build(df, *args, **options):
+        raise Built(df.columns)
+
+    monkeypatch.setattr(hybrids.IvfIndex, "build", build)
+    with pytest.raises(Built) as built:
+        hybrids._hybrid(ivf=True)(spark, str(tmp_path))
+    assert set(built.value.args[0]) == {"doc_id", "lang", "embedding", "label"}
