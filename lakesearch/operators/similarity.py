@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..checks import natural_number, one_of
-from ..functions.distance import DECIMALS, distances, vector_matrix
+from ..functions.distance import DECIMALS, Vectors, distances, near_pairs, rounded, vector_matrix
 from ..functions.hashing import Bands
 from ..runtime import broadcast_if_small, written
 from ..schema import DocumentSchema
-from .vectors import CELLS, batch_search, search_metric, vector_name
+from .vectors import CELLS, CELLS_PER_CORE, batch_search, search_metric, vector_bytes, vector_name
 
 METHODS = ("lsh", "exact")
 
 # Rows of one hash bucket that meet in one task; larger buckets are cut into chunks.
 CHUNK = 2048
+# Bytes of vectors that one cell of a self-join holds while others stream past.
+HELD_BYTES = 64 * 1024 * 1024
+# Rows of a block that meet the rows after them at a time.
+STEP = 4096
 
 
 def usable(vector: Column, metric: str) -> Column:
@@ -55,24 +60,27 @@ def similarity_join(
     bands: Bands | None = None,
     chunk: int = CHUNK,
     schema: DocumentSchema | None = None,
+    every: bool = False,
 ) -> DataFrame:
     """``(left_key, right_key, distance)`` of pairs within ``threshold``.
 
     Without ``right`` the table is joined with itself in compact form: pairs of
     representatives, each once, and every copy paired with its representative (see
     ``similarity_classes`` for the two apart). All other pairs follow through them, and
-    a hot vector gives a linear number of rows. With ``right`` every left row meets
-    every right row, copies included. Vectors without a defined distance never occur.
+    a hot vector gives a linear number of rows. With ``every`` the self-join returns all
+    pairs of rows whose left key is the smaller one, copies included, and repeated keys
+    as often as they occur. With ``right`` every left row meets every right row, copies
+    included. Vectors without a defined distance never occur.
 
     ``lsh`` joins on equal band hashes and rechecks the true distance; it may miss
-    pairs at the chance its bands allow. ``exact`` compares every distinct vector in
-    bounded broadcast blocks. Vectors of different lengths never pair.
+    pairs at the chance its bands allow. ``exact`` compares all vectors, a block with
+    another at a time. Vectors of different lengths never pair.
     """
-    pairs, members = _joined(left, right, field, threshold, method, metric, bands, chunk, schema)
-    if right is None:
-        return pairs.unionByName(members.select(F.col("representative").alias("left_key"), F.col("member").alias("right_key"), "distance"))
-    copies = pairs.join(broadcast_if_small(members.select("representative", "member")), F.col("right_key") == F.col("representative"))
-    return pairs.unionByName(copies.select("left_key", F.col("member").alias("right_key"), "distance"))
+    every = every or right is not None
+    pairs, members = _joined(left, right, field, threshold, method, metric, bands, chunk, schema, every)
+    if every:
+        return pairs
+    return pairs.unionByName(members.select(F.col("representative").alias("left_key"), F.col("member").alias("right_key"), "distance"))
 
 
 def similarity_classes(
@@ -93,28 +101,39 @@ def similarity_classes(
     return _joined(df, None, field, threshold, method, metric, bands, chunk, schema)
 
 
-def _joined(left, right, field, threshold, method, metric, bands, chunk, schema) -> tuple[DataFrame, DataFrame]:
+def _joined(left, right, field, threshold, method, metric, bands, chunk, schema, every=False) -> tuple[DataFrame, DataFrame | None]:
     natural_number(threshold, "threshold")
     one_of(method, METHODS, "method")
     metric = search_metric(schema, field, metric)
     key = schema.key if schema is not None else "_key"
     column = vector_name(schema, field)
     own = right is None
-    heads, members = distinct_vectors(left if own else right, key, column, metric)
-    probes = heads if own else left.where(usable(F.col(f"`{column}`"), metric)).select(F.col(f"`{key}`").alias("_k"), F.col(f"`{column}`").alias("_v"))
+    if every:
+        members = None
+        probes, heads = (
+            t.where(usable(F.col(f"`{column}`"), metric)).select(F.col(f"`{key}`").alias("_k"), F.col(f"`{column}`").alias("_v"))
+            for t in (left, left if own else right)
+        )
+    else:
+        heads, members = distinct_vectors(left, key, column, metric)
+        probes = heads
     spec = schema.field(field) if schema is not None else None
     # The lengths that vectors have; a declared field has one.
     sizes = [spec.dims] if spec is not None else sorted(r[0] for r in heads.select(F.size("_v")).distinct().collect())
     pairs = None
     for dims in sizes or [1]:
         right_rows, left_rows = (rows.where(F.size("_v") == dims) for rows in (heads, probes))
-        if method == "exact":
-            found = _exact(left_rows, right_rows, threshold, metric, own)
-        else:
+        spread = None
+        if method == "lsh":
             spread = bands or (Bands.for_cosine(threshold) if metric == "COSINE" else Bands(16, 4, metric, 4 * threshold or 1.0))
+        if own and (spread is None or _meet_anyway(spread)):
+            found = _all_with_all(right_rows, dims, threshold, metric, spread)
+        elif spread is None:
+            found = _exact(left_rows, right_rows, threshold, metric)
+        else:
             found = _banded(left_rows, right_rows, dims, threshold, metric, spread, chunk, own)
         pairs = found if pairs is None else pairs.unionByName(found)
-    if own:
+    if not every:
         itself = F.lit(0.0)
         if metric == "IP":
             itself = F.round(1.0 - F.aggregate(F.col("_v").cast("array<double>"), F.lit(0.0), lambda a, v: a + v * v), DECIMALS)
@@ -123,13 +142,108 @@ def _joined(left, right, field, threshold, method, metric, bands, chunk, schema)
     return pairs, members
 
 
-def _exact(probes: DataFrame, heads: DataFrame, threshold: float, metric: str, own: bool) -> DataFrame:
+def _exact(probes: DataFrame, heads: DataFrame, threshold: float, metric: str) -> DataFrame:
     hits = batch_search(
         heads, probes.withColumnRenamed("_k", "left_key"), "_v", metric, "_k", "left_key", "_v",
         radius=threshold, alias="distance",
     )
-    hits = hits.select("left_key", F.col("_k").alias("right_key"), "distance")
-    return hits.where("left_key < right_key") if own else hits
+    return hits.select("left_key", F.col("_k").alias("right_key"), "distance")
+
+
+def _meet_anyway(bands: Bands) -> bool:
+    """Whether the buckets of all bands hold half of all pairs or more, however the vectors lie.
+
+    A cosine hash has ``2**bits`` values, so a band's buckets hold no less than that share of the pairs. Then
+    it is cheaper to let every pair meet once than once a shared bucket, with a copy of the vector a band.
+    """
+    return bands.metric == "COSINE" and 2 * bands.bands >= 2**bands.bits
+
+
+def _all_with_all(rows: DataFrame, dims: int, threshold: float, metric: str, bands: Bands | None) -> DataFrame:
+    """Pairs of rows within ``threshold``, of different keys; with ``bands`` those that agree on one of them.
+
+    Rows are dealt to blocks by hash, and every two blocks meet in a cell, which is a partition: one is held
+    there, the other streams past. A block is copied once for each block, and no pair meets twice.
+    """
+    spark = rows.sparkSession
+    key = rows.schema["_k"].dataType
+    rows = rows.where(F.col("_k").isNotNull())
+    size = vector_bytes(rows.select(F.col("_v").alias("vector")))
+    cells = min(int(spark.conf.get("spark.sql.shuffle.partitions")), CELLS_PER_CORE * spark.sparkContext.defaultParallelism)
+    blocks = max(1, -(-size // HELD_BYTES))
+    while blocks * (blocks + 1) // 2 < cells:
+        blocks += 1
+    rows = rows.withColumn("_b", F.pmod(F.xxhash64("_k", "_v"), F.lit(blocks)).cast("int"))
+    rows = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    low, high = F.least("_b", "_o"), F.greatest("_b", "_o")
+    number = (low * blocks - F.floor(low * (low - 1) / 2).cast("int") + high - low).alias("_cell")
+    rows = rows.select(number, (F.col("_b") != low).alias("_late"), (low == high).alias("_alone"), "_k", "_v")
+    rows = rows.repartitionById(blocks * (blocks + 1) // 2, "_cell").sortWithinPartitions("_cell", "_late")
+    schema = T.StructType(
+        [T.StructField("_ka", key), T.StructField("_kb", key), T.StructField("distance", T.DoubleType())]
+    )
+    pairs = rows.mapInArrow(_cell_kernel(dims, threshold, metric, bands), schema).where("_ka != _kb")
+    return pairs.select(F.least("_ka", "_kb").alias("left_key"), F.greatest("_ka", "_kb").alias("right_key"), "distance")
+
+
+def _cell_kernel(dims: int, threshold: float, metric: str, bands: Bands | None):
+    """Pairs of the two blocks of each cell; where both are one block, pairs within it."""
+
+    class Block:
+        def __init__(self, parts: list[pa.RecordBatch]):
+            table = pa.Table.from_batches(parts)
+            x, rows = vector_matrix(table.column("_v"), dims)
+            self.keys = table.column("_k").combine_chunks().take(pa.array(rows))
+            self.vectors = Vectors(x, metric)
+            self.hashes = bands.hashes(x) if bands is not None else None
+
+    def meet(cell: Iterator[tuple[bool, bool, pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.RecordBatch] = []
+        held = None
+        alone = False
+        for late, alone, rows in cell:
+            if not late:
+                parts.append(rows)
+                continue
+            held = held or (Block(parts) if parts else None)
+            if held is not None:
+                other = Block([rows])
+                yield from near(other, np.arange(len(other.vectors)), held, np.arange(len(held.vectors)))
+        if alone and parts:
+            held = Block(parts)
+            n = len(held.vectors)
+            for at in range(0, n, STEP):
+                yield from near(held, np.arange(at, min(at + STEP, n)), held, np.arange(at, n), upper=True)
+
+    def near(a, rows, b, columns, upper: bool = False) -> Iterator[pa.RecordBatch]:
+        for i, j, d in near_pairs(a.vectors, rows, b.vectors, columns, lambda _: threshold):
+            d = rounded(d)
+            kept = d <= threshold
+            if upper:
+                kept &= i < j
+            i, j, d = i[kept], j[kept], d[kept]
+            if bands is not None:
+                step = max(1, CELLS // bands.bands)
+                agree = [(a.hashes[i[at : at + step]] == b.hashes[j[at : at + step]]).any(axis=1) for at in range(0, len(i), step)]
+                agree = np.concatenate(agree) if agree else np.zeros(0, bool)
+                i, j, d = i[agree], j[agree], d[agree]
+            if len(i):
+                yield pa.RecordBatch.from_arrays([a.keys.take(pa.array(i)), b.keys.take(pa.array(j)), pa.array(d)], names=["_ka", "_kb", "distance"])
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, bool, pa.RecordBatch]]:
+        for batch in batches:
+            cells = batch.column("_cell").to_numpy()
+            late = batch.column("_late").to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero((np.diff(cells) != 0) | (late[1:] != late[:-1])) + 1
+            for start, end in zip([0, *turns], [*turns, len(cells)], strict=True):
+                if start < end:
+                    yield int(cells[start]), bool(late[start]), batch.column("_alone")[int(start)].as_py(), batch.slice(start, end - start).select(["_k", "_v"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, cell in groupby(stretches(batches), key=lambda s: s[0]):
+            yield from meet(s[1:] for s in cell)
+
+    return search
 
 
 def _banded(
@@ -161,6 +275,8 @@ def _banded(
         [T.StructField("_ka", key), T.StructField("_kb", key), T.StructField("distance", T.DoubleType())]
     )
     pairs = rows.mapInArrow(_meeting_kernel(dims, threshold, metric, own), schema)
+    if own:
+        pairs = pairs.where("_ka != _kb")
     first: Column = F.least("_ka", "_kb") if own else F.col("_ka")
     second: Column = F.greatest("_ka", "_kb") if own else F.col("_kb")
     return pairs.select(first.alias("left_key"), second.alias("right_key"), "distance")

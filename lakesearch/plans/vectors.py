@@ -85,7 +85,7 @@ def _grid_range(spark, folder) -> DataFrame:
 def _join(method: str):
     def run(spark, folder) -> DataFrame:
         found = similarity_join(table(spark, folder, "embeddings"), field="embedding", threshold=0.6, method=method,
-                                schema=EMBEDDINGS)
+                                schema=EMBEDDINGS, every=True)
         return _rounded(found, "distance")
 
     return run

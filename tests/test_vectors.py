@@ -1,15 +1,19 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lakesearch.errors import QueryError
+from lakesearch.functions import distance
 from lakesearch.functions.distance import denormalized_cosine, normalized
 from lakesearch.functions.hashing import Bands
 from lakesearch.functions.predicates import Num, Tag
-from lakesearch.operators import vectors
+from lakesearch.operators import ann, similarity, vectors
 from lakesearch.operators.ann import IvfIndex, LshIndex
 from lakesearch.operators.similarity import similarity_join
 from lakesearch.operators.vectors import knn, vector_range
+from lakesearch.plans.vectors import REPORTS
 from lakesearch.schema import DocumentSchema
 
 ONE = [1.0, 0.0, 0.0, 0.0]
@@ -322,3 +326,89 @@ def test_hashes_of_many_rows_are_those_of_each_alone(monkeypatch):
         assert (bands.hashes(x) == whole).all() and whole.shape == (50, 5)
         assert (bands.hashes(x[:0])).shape == (0, 5)
         monkeypatch.undo()
+
+
+def _pairs_of(rows, threshold, metric="COSINE"):
+    """All pairs of ``(key, vector)`` rows within ``threshold`` whose left key is the smaller one, as often as they occur."""
+    x = np.array([v for _, v in rows])
+    near = [np.flatnonzero(brute(x, v, metric) <= threshold) for v in x]
+    return Counter((rows[i][0], rows[j][0]) for i in range(len(rows)) for j in near[i] if rows[i][0] < rows[j][0])
+
+
+def test_every_pair_of_copies_and_repeated_keys_is_joined(spark):
+    rng = np.random.default_rng(21)
+    base = rng.normal(size=(40, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(base)] + [(100 + i, base[i % 3].tolist()) for i in range(12)]
+    rows += [(5, base[5].tolist()), (5, base[6].tolist()), (103, base[0].tolist())]
+    table = spark.createDataFrame([*rows, (None, base[0].tolist())], "_key long, v array<double>")
+    for metric, threshold in (("COSINE", 0.4), ("L2", 1.5)):
+        want = _pairs_of(rows, threshold, metric)
+        found = similarity_join(table, field="v", threshold=threshold, method="exact", metric=metric, every=True).collect()
+        assert Counter((r["left_key"], r["right_key"]) for r in found) == want
+    found = similarity_join(table, field="v", threshold=0.4, every=True).collect()
+    found, want = Counter((r["left_key"], r["right_key"]) for r in found), _pairs_of(rows, 0.4)
+    assert not found - want and found[(100, 103)] == 2 and found.total() >= 0.9 * want.total()
+
+
+def test_the_join_report_has_the_pairs_of_its_sql_among_copies(spark, tmp_path):
+    rng = np.random.default_rng(22)
+    x = rng.normal(size=(5, 64)).astype(np.float32)
+    rows = [(i, x[i % 5].tolist(), i % 10) for i in range(15)] + [(3, x[3].tolist(), 3)]
+    spark.createDataFrame(rows, "vec_id int, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = REPORTS["V8_similarity_join_exact"].run(spark, str(tmp_path)).collect()
+    want = Counter((a, b) for a, u, _ in rows for b, v, _ in rows if a < b and u == v)
+    assert Counter((r["left_key"], r["right_key"]) for r in found) == want and {r["distance"] for r in found} == {0.0}
+
+
+def test_a_join_of_two_tables_has_rows_of_a_repeated_key(spark):
+    right = [(1, [1.0, 0.0]), (7, [1.0, 0.0]), (7, [1.0, 0.0]), (7, [0.9, 0.1])]
+    a = spark.createDataFrame([(2, [1.0, 0.0])], "_key long, v array<double>")
+    b = spark.createDataFrame(right, "_key long, v array<double>")
+    for method in ("exact", "lsh"):
+        found = Counter((r["left_key"], r["right_key"]) for r in similarity_join(a, b, "v", 0.1, method).collect())
+        assert found == {(2, 1): 1, (2, 7): 3}
+
+
+def test_blocks_of_a_self_join_hold_a_bounded_size_and_meet_once(spark, monkeypatch):
+    rng = np.random.default_rng(23)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(90, 5)))]
+    table = spark.createDataFrame(rows, "_key long, v array<double>")
+    monkeypatch.setattr(similarity, "HELD_BYTES", 1400)
+    dealt = []
+    deal = type(table).repartitionById
+    monkeypatch.setattr(type(table), "repartitionById", lambda df, n, c: dealt.append((n, df.count())) or deal(df, n, c))
+    found = similarity_join(table, field="v", threshold=0.3, method="exact")
+    # 7 blocks, each with itself and the 6 others.
+    assert dealt == [(28, 7 * 90)]
+    assert Counter((r["left_key"], r["right_key"]) for r in found.collect()) == _pairs_of(rows, 0.3)
+
+
+def test_unselective_bands_find_what_their_buckets_would(spark, tmp_path):
+    bands = Bands.for_cosine(0.6)
+    assert similarity._meet_anyway(bands) and not similarity._meet_anyway(Bands.for_cosine(0.1))
+    rng = np.random.default_rng(24)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(120, 8)))], "_k long, _v array<double>")
+    met = similarity._all_with_all(rows, 8, 0.6, "COSINE", bands)
+    buckets = similarity._banded(rows, rows, 8, 0.6, "COSINE", bands, 50, True)
+    found = sorted(tuple(r) for r in met.collect())
+    assert found == sorted(tuple(r) for r in buckets.collect()) and len(found) > 300
+    # No bucket rows, so no copy of a vector for each of the bands.
+    table = rows.toDF("_key", "v")
+    plan = similarity_join(table, field="v", threshold=0.6)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_signature" not in plan
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-3, 1e120])
+@pytest.mark.parametrize("metric", ["COSINE", "L2", "IP"])
+def test_near_pairs_are_those_of_the_distances(metric, scale):
+    rng = np.random.default_rng(25)
+    x, q = rng.normal(size=(300, 7)), rng.normal(size=(250, 7))
+    q[:50], x[7], q[60] = x[:50] * 3.0, 0.0, 0.0
+    if metric == "COSINE":
+        x, q = x * scale, q * scale
+    a, b = distance.Vectors(x, metric), distance.Vectors(q, metric)
+    for limit in (-1.0, 0.0, 0.02, 0.6, 1.9, np.inf):
+        i, j = np.nonzero(distance.raw_distances(x, q, metric) <= limit + distance.MARGIN)
+        found = [t[:2] for t in distance.near_pairs(a, np.arange(300), b, np.arange(250), lambda _: limit)]
+        got = {(r, c) for rows, columns in found for r, c in zip(rows, columns)}
+        assert got == set(zip(i, j)) and sum(len(rows) for rows, _ in found) == len(got)
