@@ -289,7 +289,7 @@ def _reduce_groups(df: DataFrame, names: list[str], reducers: list[Reducer], key
         simple = [r for r in reducers if not _needs_own_pass(r)]
         if len(simple) == len(reducers):
             return df.agg(*[_plain(df, r, key, values).alias(r.name) for r in reducers])
-        return _reduce_groups(df.withColumn("_all", F.lit(1)), ["_all"], reducers, key).drop("_all")
+        return _reduce_groups(df.drop(*values.values()).withColumn("_all", F.lit(1)), ["_all"], reducers, key).drop("_all")
     quoted = [F.col(f"`{c}`") for c in keys]
     simple = [r for r in reducers if not _needs_own_pass(r)]
     grouped = df.groupBy(*quoted)
