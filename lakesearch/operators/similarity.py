@@ -21,7 +21,7 @@ METHODS = ("lsh", "exact")
 # Rows of one hash bucket that meet in one task; larger buckets are cut into chunks.
 CHUNK = 2048
 # Bytes of vectors that one cell of a self-join holds while others stream past.
-HELD_BYTES = 64 * 1024 * 1024
+HELD_BYTES = 96 * 1024 * 1024
 # Rows of a block that meet the rows after them at a time.
 STEP = 4096
 
@@ -171,7 +171,7 @@ def _all_with_all(rows: DataFrame, dims: int, threshold: float, metric: str, ban
     size = vector_bytes(rows.select(F.col("_v").alias("vector")))
     cells = min(int(spark.conf.get("spark.sql.shuffle.partitions")), CELLS_PER_CORE * spark.sparkContext.defaultParallelism)
     blocks = max(1, -(-size // HELD_BYTES))
-    while blocks * (blocks + 1) // 2 < cells:
+    while blocks * blocks < cells:  # a block's meeting with itself is half the work
         blocks += 1
     rows = rows.withColumn("_b", F.pmod(F.xxhash64("_k", "_v"), F.lit(blocks)).cast("int"))
     rows = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
