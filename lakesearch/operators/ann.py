@@ -16,7 +16,7 @@ from ..errors import QueryError
 from ..functions.distance import vector_matrix
 from ..functions.hashing import Bands
 from ..functions.predicates import FilterInput, filtered
-from ..runtime import with_documents
+from ..runtime import computed_once, with_documents
 from ..schema import DocumentSchema
 from .search import project_fields
 from .vectors import DEFAULT_ALIAS, batch_search, check_policy, knn, search_metric, vector_name, with_score
@@ -79,7 +79,7 @@ class IvfIndex:
         spec = schema.field(field) if schema is not None else None
         dims = dims or (spec.dims if spec is not None else common_length(df, vector))
         usable = df.where((F.size(vector) == dims) & ~F.exists(vector, lambda v: v.isNull() | F.isnan(v)))
-        training = usable.select(_unit(vector, metric).alias("features"))
+        training = _units(usable, vector, metric)
         if training_rows is not None and (total := usable.count()) > training_rows:
             training = training.sample(fraction=training_rows / total, seed=seed)
         if nlist == 1:
@@ -222,12 +222,14 @@ def common_length(df: DataFrame, vector: Column) -> int:
     return found["length"] if found else 1
 
 
-def _unit(vector: Column, metric: str) -> Column:
+def _units(df: DataFrame, vector: Column, metric: str) -> DataFrame:
+    """``features``: the vectors, under the cosine at length one."""
     doubles = vector.cast("array<double>")
     if metric != "COSINE":
-        return doubles
-    norm = F.sqrt(F.aggregate(doubles, F.lit(0.0), lambda a, v: a + v * v))
-    return F.transform(doubles, lambda v: F.coalesce(F.try_divide(v, norm), F.lit(0.0)))
+        return df.select(doubles.alias("features"))
+    # The norm is computed before, or it would be for every element.
+    rows = computed_once(df.select(doubles.alias("_doubles")), _norm=F.sqrt(F.aggregate("_doubles", F.lit(0.0), lambda a, v: a + v * v)))
+    return rows.select(F.transform("_doubles", lambda v: F.coalesce(F.try_divide(v, F.col("_norm")), F.lit(0.0))).alias("features"))
 
 
 def _affinity(x: np.ndarray, centers: np.ndarray, metric: str) -> np.ndarray:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..checks import natural_number, one_of, positive_int
 from ..errors import QueryError
-from ..functions.distance import MARGIN, distance_column, normalized, raw_distances, rounded, vector_matrix
+from ..functions.distance import MARGIN, TILE_COLUMNS, Vectors, distance_column, near_pairs, normalized, raw_distances, rounded, vector_matrix
 from ..functions.predicates import FilterInput, filtered
 from ..runtime import computed_once, with_documents
 from ..schema import DocumentSchema, normalize_metric
@@ -226,8 +226,8 @@ def _grid(docs: DataFrame, queries: DataFrame, columns: int) -> DataFrame:
     asked = asked.select(number, F.lit(False).alias("document"), *queries.columns)
     held = held.select(number, F.lit(True).alias("document"), *docs.columns)
     both = asked.unionByName(held, allowMissingColumns=True)
-    # As many partitions as cells; those that share one are taken one after the other.
-    return both.repartition(rows * columns, "grid").sortWithinPartitions("grid", "document")
+    # Every cell is a partition.
+    return both.repartitionById(rows * columns, "grid").sortWithinPartitions("grid", "document")
 
 
 def _broadcast_kernel(spark, block: pa.Table, schema: T.StructType, metric: str, k: int | None, radius: float | None):
@@ -279,23 +279,33 @@ class _Meeting:
     def documents(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """The documents ``key, vector[, cell]`` within the radius; with ``k`` they are only remembered."""
         keys, vectors = batch.column("key"), batch.column("vector")
-        for dims, q, rows in self._groups:
+        for dims, asked, rows in self._groups:
             x, docs = vector_matrix(vectors, dims)
             if not len(docs):
                 continue
+            held = Vectors(x, self._metric)
             for part, chosen in _cells(batch, docs, self._table, rows):
-                step = max(1, CELLS // max(1, len(chosen)))
-                for at in range(0, len(part), step):
-                    piece = part[at : at + step]
-                    d = raw_distances(x[piece], q[chosen], self._metric)
-                    found = keys.take(pa.array(docs[piece]))
-                    if self._best is not None:
-                        self._best.add(d, rows[chosen], found)
-                        continue
-                    hit_doc, hit_query = np.nonzero(d <= self._radius + MARGIN)
-                    near = rounded(d[hit_doc, hit_query])
+                if self._best is not None:
+                    self._remember(held, part, asked, chosen, rows, keys, docs)
+                    continue
+                for i, j, near in near_pairs(held, part, asked, chosen, lambda _: self._radius):
+                    near = rounded(near)
                     hit = near <= self._radius
-                    yield self._rows(rows[chosen][hit_query[hit]], found.take(pa.array(hit_doc[hit])), near[hit])
+                    yield self._rows(rows[j[hit]], keys.take(pa.array(docs[i[hit]])), near[hit])
+
+    def _remember(self, held: Vectors, part: np.ndarray, asked: Vectors, chosen: np.ndarray, rows: np.ndarray, keys: pa.Array, docs: np.ndarray) -> None:
+        """Keep what can be among the ``k`` best, for some of the queries at a time."""
+        edge = self._best.edge
+        for at in range(0, len(chosen), TILE_COLUMNS):
+            some, left = chosen[at : at + TILE_COLUMNS], part
+            step = max(1, CELLS // len(some))
+            # Until a query has met ``k`` documents, every one may be among them.
+            while len(left) and np.isinf(edge[rows[some]]).any():
+                first, left = left[:step], left[step:]
+                d = raw_distances(held.x[first], asked.x[some], self._metric)
+                self._best.add(d, rows[some], keys.take(pa.array(docs[first])))
+            for i, j, near in near_pairs(held, left, asked, some, lambda columns: edge[rows[columns]]):
+                self._best.take(rows[j], near, keys.take(pa.array(docs[i])))
 
     def best(self) -> Iterator[pa.RecordBatch]:
         """The ``k`` best documents of each query so far."""
@@ -323,7 +333,7 @@ class TopK:
         bound = self.edge[queries]
         if len(d) > self.k and np.isinf(bound).any():
             kth = np.partition(d, self.k - 1, axis=0)[self.k - 1]
-            bound = np.fmin(bound, kth)
+            self.edge[queries] = bound = np.fmin(bound, rounded(kth))
         doc, query = np.nonzero(d <= bound + MARGIN)
         if len(doc):
             self.take(queries[query], d[doc, query], keys.take(pa.array(doc)))
@@ -355,7 +365,7 @@ class TopK:
 
 
 def _by_dims(table: pa.Table, metric: str):
-    """Usable query vectors grouped by length: (dims, matrix, row numbers in the block)."""
+    """Usable query vectors grouped by length: (dims, vectors, row numbers in the block)."""
     column = table.column("vector").combine_chunks()
     lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     for dims in np.unique(lengths[lengths > 0]):
@@ -364,7 +374,7 @@ def _by_dims(table: pa.Table, metric: str):
             directed = (q != 0).any(axis=1)
             q, rows = q[directed], rows[directed]
         if len(rows):
-            yield int(dims), q, rows
+            yield int(dims), Vectors(q, metric), rows
 
 
 def _cells(batch: pa.RecordBatch, docs: np.ndarray, table: pa.Table, rows: np.ndarray):

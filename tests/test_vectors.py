@@ -412,3 +412,12 @@ def test_near_pairs_are_those_of_the_distances(metric, scale):
         found = [t[:2] for t in distance.near_pairs(a, np.arange(300), b, np.arange(250), lambda _: limit)]
         got = {(r, c) for rows, columns in found for r, c in zip(rows, columns)}
         assert got == set(zip(i, j)) and sum(len(rows) for rows, _ in found) == len(got)
+
+
+def test_the_norm_of_a_training_vector_is_computed_once(spark):
+    docs = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0])], "_key long, v array<float>")
+    rows = ann._units(docs, F.col("v"), "COSINE")
+    assert [r[0] for r in rows.collect()] == [[0.6, 0.8], [0.0, 0.0]]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    turned = next(line for line in plan.splitlines() if "transform(" in line)
+    assert "aggregate(" not in turned
